@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import canonical, encode, survivor
+from . import canonical, encode, matching, survivor
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of records of different sources that are one thing."""
+    return matching.match(table(spark, folder, "source_entity")).selectExpr("a AS entity_a", "b AS entity_b")
+
+
+def p4_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with the confidence of each."""
+    return matching.match(table(spark, folder, "source_entity"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,6 +44,6 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_golden, p5_currency, p6_found, p8_ids)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p8_ids)}
 
 ORACLES: dict[str, str] = {}
