@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import canonical, encode, matching, survivor
+from . import canonical, encode, matching, spans, survivor
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,6 +44,16 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p8_ids)}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of at least 200 characters that stand in another document too."""
+    return spans.shared_spans(table(spark, folder, "documents"))
+
+
+def p10_share(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each document is shared."""
+    return spans.shared_share(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p8_ids, p10_found, p10_share)}
 
 ORACLES: dict[str, str] = {}
