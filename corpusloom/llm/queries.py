@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import canonical, encode, matching, spans, survivor
+from . import canonical, clusters, encode, matching, mixing, neighbours, spans, survivor
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of chunks of which one is among the five most similar to the other, at 0.9 or more."""
+    return neighbours.near_pairs(table(spark, folder, "corpus_chunk"), "chunk_id", "embedding", 128).selectExpr("a AS chunk_a", "b AS chunk_b")
+
+
+def p3_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The most similar others of each chunk, with their similarity."""
+    return neighbours.nearest(table(spark, folder, "corpus_chunk"), "chunk_id", "embedding", 128)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,11 +49,34 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("alias_id", "canonical_id")
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks that follow each other within their cluster."""
+    found = clusters.clusters(table(spark, folder, "corpus_chunk"), "chunk_id", "embedding", 128)
+    return clusters.chained(found).selectExpr("a AS chunk_a", "b AS chunk_b")
+
+
+def p7_described(spark: SparkSession, folder: str) -> DataFrame:
+    """Each cluster with its size and most typical members."""
+    chunks = table(spark, folder, "corpus_chunk")
+    return clusters.described(clusters.clusters(chunks, "chunk_id", "embedding", 128), chunks, "chunk_id", "text")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document."""
     return encode.encode(table(spark, folder, "documents"))
 
 
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The share of all tokens that each target source has in the mix."""
+    targets = table(spark, folder, "mix_target")
+    return mixing.shares(mixing.select(table(spark, folder, "documents"), targets), targets)
+
+
+def p9_selected(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of the mix and how often each is used."""
+    return mixing.select(table(spark, folder, "documents"), table(spark, folder, "mix_target"))
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of at least 200 characters that stand in another document too."""
     return spans.shared_spans(table(spark, folder, "documents"))
@@ -54,6 +87,9 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_share(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p8_ids, p10_found, p10_share)}
+QUERIES = {
+    f.__name__: f
+    for f in (p3_found, p3_nearest, p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p7_found, p7_described, p8_ids, p9_selected, p9_shares, p10_found, p10_share)
+}
 
 ORACLES: dict[str, str] = {}
