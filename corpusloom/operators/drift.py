@@ -155,14 +155,16 @@ def renames(records: DataFrame, moved: DataFrame, item_key: str = "id", payload:
     feed spreads over all tasks.
     """
     both = moved.where((F.size("gone") > 0) & (F.size("come") > 0))
-    old = both.select("file_id", F.col("prev_id").alias("at"), F.explode("gone").alias("field_name"), F.lit(True).alias("old"))
-    new = both.select("file_id", F.col("file_id").alias("at"), F.explode("come").alias("field_name"), F.lit(False).alias("old"))
-    wanted = old.unionByName(new)
+    old = both.select("file_id", F.col("prev_id").alias("at"), F.lit(True).alias("old"), F.col("gone").alias("names"))
+    new = both.select("file_id", F.col("file_id").alias("at"), F.lit(False).alias("old"), F.col("come").alias("names"))
+    # a file is compared as the later and as the earlier one of two pairs at most
+    wanted = old.unionByName(new).groupBy("at").agg(F.collect_list(F.struct("file_id", "old", "names")).alias("wanted"))
     item = F.try_variant_get(F.try_parse_json(F.col(payload)), f"$.{item_key}", "string").alias("item")
-    values = explode_fields(records.select("file_id", payload, item).where(F.col("item").isNotNull()), payload, ["file_id", "item"])
+    # records meet the few names wanted of their file before they are taken apart, so only those values move
+    held = records.select(F.col("file_id").alias("at"), payload, item).where(F.col("item").isNotNull()).join(wanted, "at")
+    values = explode_fields(held, payload, ["item", "wanted"]).select("item", "field_name", "value", F.inline("wanted"))
     seen = (
-        values.withColumnRenamed("file_id", "at")
-        .join(wanted, ["at", "field_name"])
+        values.where(F.array_contains("names", F.col("field_name")))
         .select("file_id", "item", "old", "field_name", F.to_json("value").alias("json"))
         .groupBy("file_id", "item", "old", "field_name")
         .agg(F.min("json").alias("json"))
