@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def usable(name: str, size: int) -> Column:
     """Whether an embedding has ``size`` finite values and isn't all zero."""
@@ -27,5 +29,6 @@ def stack(arrays: pd.Series) -> np.ndarray:
 
 
 def spread(df: DataFrame, least: int = 8) -> DataFrame:
-    """Rows over as many tasks as the session shuffles to; by number, so that adaptive planning leaves them so."""
-    return df.repartition(max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """Rows of a scan spread over the cores where the table lies in few splits; a table in many splits is read as it lies."""
+    tasks = max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df if df.rdd.getNumPartitions() >= min(tasks, df.sparkSession.sparkContext.defaultParallelism) else checkpointed(df.repartition(tasks))
