@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import data
+from . import data, reference
 
-FLAGSHIP = "p2_found"
+FLAGSHIP = "motif_coverage"
 
-QUERIES = {**data.QUERIES}
-ORACLES = {**data.ORACLES}
+QUERIES = {**reference.QUERIES, **data.QUERIES}
+ORACLES = {**reference.ORACLES, **data.ORACLES}
