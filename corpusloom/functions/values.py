@@ -132,12 +132,13 @@ def entries(text: Column | str) -> Column:
 
 def _pivot(found: Column, names: dict[str, str], value: str) -> dict[str, Column]:
     """Of each target column, the value of the last entry named for it."""
-    out = {}
-    for target in dict.fromkeys(names.values()):
+
+    def last(target: str) -> Column:
         keys = [k for k, t in names.items() if t == target]
-        hits = F.filter(found, lambda e, keys=keys: F.lower(F.trim(e["name"])).isin(*keys))
-        out[target] = F.try_element_at(hits, F.lit(-1))[value]
-    return out
+        hits = F.filter(found, lambda e: F.lower(F.trim(e["name"])).isin(*keys))
+        return F.try_element_at(hits, F.lit(-1))[value]
+
+    return {target: last(target) for target in dict.fromkeys(names.values())}
 
 
 def damage(found: Column | str) -> dict[str, Column]:

@@ -136,8 +136,9 @@ def similar_names(a: DataFrame, b: DataFrame, threshold: float, blocks: list[str
     starts = F.transform(F.sequence(F.lit(1), F.length("b") - F.col("size") + 1), lambda p: F.struct((p - 1).alias("pos"), F.substring(F.col("b"), p, F.col("size")).alias("piece")))
     bp = b.where("b != ''").crossJoin(F.broadcast(sizes)).where(F.length("b") >= F.col("size")).select("b", *blocks, F.inline(starts))
     near = ap.join(bp, ["piece", *blocks]).where((F.abs(F.col("at") - F.col("pos")) <= F.col("k")) & similarity.ratio_possible("a", "b", threshold))
-    distinct = near.select("a", "b", *blocks).distinct()
-    return distinct.withColumn("score", similarity.ratio("a", "b")).where(F.col("score") >= threshold)
+    # few bytes but much work a pair: by number, so that adaptive planning leaves them spread
+    distinct = near.select("a", "b", *blocks).distinct().repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return distinct.withColumn("score", similarity.batch_ratio("a", "b")).where(F.col("score") >= threshold)
 
 
 def glob_regex(pattern: Column | str) -> Column:

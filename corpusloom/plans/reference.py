@@ -324,8 +324,9 @@ def rows_by_source(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def fuzzy_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Source names attached to canonical entities: exact, else best ratio of at least 0.82. Checked against brute force in tests."""
-    return reconcile.fuzzy_attach(table(spark, folder, "source_entity"), table(spark, folder, "canonical_entity"), 0.82, "entity_id", "canonical_id")
+    """Typed names attached to canonical entities: exact, else best ratio of at least 0.82. Checked against brute force in tests."""
+    typed = table(spark, folder, "entity_aliases").select("alias_id", F.col("raw_id").alias("name"))
+    return reconcile.fuzzy_attach(typed, table(spark, folder, "canonical_entity"), 0.82, "alias_id", "canonical_id")
 
 
 @query()
