@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity, text
+from .ordering import numbered
 
 #: Priority of each source kind: the smaller wins.
 PRIORITY = {"dlc": 1, "base": 2, "api": 3, "fmg": 4}
@@ -49,26 +50,6 @@ def canonical_merge(records: DataFrame, name: str = "name", source: str = "sourc
     return numbered(out, ["canonical_slug", "_key"], "id").drop("_key")
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Surrogate numbers 1..n in an order, without gathering the rows in one task.
-
-    Rows are range-partitioned and sorted; the rows of the partitions are counted (one number per partition
-    reaches the driver) and each partition numbers on from the rows before it.
-    """
-    from ..session import checkpointed
-
-    spread = checkpointed(df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order]).withColumn("_part", F.spark_partition_id()))
-    sizes = {r["_part"]: r["n"] for r in spread.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, at = {}, 0
-    for p in sorted(sizes):
-        starts[p], at = at, at + sizes[p]
-    if not starts:
-        return spread.withColumn(name, F.lit(0).cast("long")).drop("_part")
-    base = F.try_element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("_part"))
-    w = Window.partitionBy("_part").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return spread.withColumn(name, (base + F.row_number().over(w)).cast("long")).drop("_part")
-
-
 def preferred_text(records: DataFrame, key: str, column: str, source: str, order: list[str], ordinal: str = "ordinal") -> DataFrame:
     """Of each key the first text that isn't blank, by a fixed order of sources, then ordinal: key, column."""
     place = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in order]), F.col(source)), F.lit(0))

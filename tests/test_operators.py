@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
-from corpusloom.operators import incremental, lore, motifs, profile, reconcile, retrieval
+from corpusloom.operators import incremental, lore, motifs, ordering, profile, reconcile, retrieval
 
 from .conftest import rows
 from .test_functions import lcs
@@ -41,8 +41,22 @@ def test_canonical_merge(spark):
 
 def test_numbered_over_partitions(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
-    got = reconcile.numbered(df.repartition(7), ["k"], "n").collect()
+    got = ordering.numbered(df.repartition(7), ["k"], "n").collect()
     assert sorted((r["k"], r["n"]) for r in got) == [(i, i + 1) for i in range(1000)]
+    assert ordering.numbered(df.limit(0), ["k"], "n").count() == 0
+
+
+def test_followed_over_partitions(spark):
+    data = [(g, i * 3) for g, n in ((1, 2000), (2, 1), (3, 7)) for i in range(n)]
+    df = spark.createDataFrame(data, "g int, i int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ordering.followed(df, "g", "i", "n").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = {1: 2000, 2: 1, 3: 7}
+    assert sorted((r["g"], r["i"], r["n"] if r["n"] is not None else -1) for r in got) == sorted((g, i, i + 3 if i + 3 < 3 * sizes[g] else -1) for g, i in data)
+    assert ordering.followed(df.limit(0), "g", "i", "n").count() == 0
 
 
 def test_text_preference_buckets_and_conflicts(spark):
