@@ -82,10 +82,10 @@ def name_words(text: str) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def grams(word: str) -> list[str]:
-    """Distinct character pairs of a word, with marks at its ends."""
+def grams(word: str) -> list[int]:
+    """Distinct character pairs of a word, with marks at its ends, each as the number of its two code points."""
     padded = f"^{word}$"
-    return sorted({padded[i : i + 2] for i in range(len(padded) - 1)})
+    return sorted({ord(a) << 21 | ord(b) for a, b in zip(padded, padded[1:])})
 
 
 def distance(a: str, b: str, most: int) -> int:
@@ -145,15 +145,14 @@ def similar_words(left: DataFrame, right: DataFrame, similarity: float) -> DataF
         F.col("word").alias("right_word"), F.col("size").alias("right_size"), F.col("grams").alias("right_grams"), F.col("position").alias("right_position"), "gram"
     )
     need = F.ceil((F.col("size") + F.col("right_size")) * (similarity / (1 + similarity)))
+    # if this is the first pair that two sets share, what follows on the shorter side bounds all they share
     most = F.lit(1) + F.least(F.col("size") - F.col("position"), F.col("right_size") - F.col("right_position")) - 1
     pairs = a.join(b, "gram").where(
-        (F.col("right_size") >= F.col("size") * similarity) & (F.col("size") >= F.col("right_size") * similarity)
-        # of the shared pairs of two prefixes only the first one counts all that follow
-        & ((most >= need) | (F.col("position") > 0) & (F.col("right_position") > 0))
+        (F.col("right_size") >= F.col("size") * similarity) & (F.col("size") >= F.col("right_size") * similarity) & (most >= need)
     )
-    shared = F.size(F.array_intersect("grams", "right_grams"))
-    exact = pairs.select(F.col("word").alias("left_word"), "right_word", (shared / (F.col("size") + F.col("right_size") - shared)).alias("jaccard"))
-    return exact.where(F.col("jaccard") >= similarity).groupBy("left_word", "right_word").agg(F.max("jaccard").alias("jaccard"))
+    shared = pairs.withColumn("shared", F.array_intersect("grams", "right_grams")).where(F.element_at("shared", 1) == F.col("gram"))
+    exact = F.size("shared") / (F.col("size") + F.col("right_size") - F.size("shared"))
+    return shared.select(F.col("word").alias("left_word"), "right_word", exact.alias("jaccard")).where(F.col("jaccard") >= similarity)
 
 
 def match_names(values: DataFrame, listed: DataFrame, value: str = "raw_id", accept: float = 0.7, similarity: float = 0.25) -> DataFrame:
@@ -172,9 +171,9 @@ def match_names(values: DataFrame, listed: DataFrame, value: str = "raw_id", acc
             yield pd.DataFrame(rows, columns=["canonical_id", "own", "grams"])
 
     distinct = values.where(F.col(value).isNotNull() & (F.trim(value) != "")).select(F.col(value).alias("v")).distinct()
-    words = distinct.mapInPandas(cut_values, "v string, word string, cut boolean, placed boolean, grams array<string>")
+    words = distinct.mapInPandas(cut_values, "v string, word string, cut boolean, placed boolean, grams array<bigint>")
     names = listed.where(F.col("canonical_id").isNotNull() & F.col("name").isNotNull()).select("canonical_id", "name").mapInPandas(
-        cut_names, "canonical_id string, own string, grams array<string>"
+        cut_names, "canonical_id string, own string, grams array<bigint>"
     )
     left = words.groupBy("word").agg(F.first("grams").alias("grams"))
     right = names.groupBy(F.col("own").alias("word")).agg(F.first("grams").alias("grams"))

@@ -92,4 +92,41 @@ QUERIES = {
     for f in (p3_found, p3_nearest, p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p7_found, p7_described, p8_ids, p9_selected, p9_shares, p10_found, p10_share)
 }
 
-ORACLES: dict[str, str] = {}
+_TRIMMED = "regexp_replace({0}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+_MARKS = ", ".join(f"'{p}'" for p in survivor.PLACEHOLDERS)
+
+
+def _usable(column: str) -> str:
+    t = f"lower({_TRIMMED.format(column)})"
+    return f"{column} IS NOT NULL AND {t} <> '' AND {t} NOT IN ({_MARKS})"
+
+
+def _survivor_sql(value: bool) -> str:
+    """Rows of survivors by plain SQL, with their value or without."""
+    prio, date = "coalesce(source_priority, 99)", "-coalesce(epoch_us(updated_at), -4611686018427387904)"
+    order = {
+        "name": f"({prio}, {date}, record_id)", "weight": f"({prio}, {date}, record_id)", "effect": f"({prio}, {date}, record_id)", "obtained_from": f"({date}, {prio}, record_id)",
+        "description": f"(-length({_TRIMMED.format('description')}), {prio}, {date}, record_id)",
+    }
+    parts = []
+    for field, by in order.items():
+        ok = "weight IS NOT NULL AND NOT isnan(weight) AND weight > 0 AND NOT isinf(weight)" if field == "weight" else _usable(field)
+        shown = f", arg_min({field}::VARCHAR, {by}) AS value" if value else ""
+        parts.append(f"SELECT match_key, '{field}' AS field_name, arg_min(record_id, {by}) AS record_id{shown} FROM r WHERE {ok} GROUP BY 1")
+    keyed = f"SELECT * REPLACE (lower({_TRIMMED.format('match_key')}) AS match_key) FROM entity_record WHERE match_key IS NOT NULL"
+    return f"WITH a AS ({keyed}), r AS (SELECT * FROM a QUALIFY count(*) OVER (PARTITION BY match_key) >= 2) " + " UNION ALL ".join(parts)
+
+
+_NEAREST = (
+    "WITH u AS (SELECT chunk_id, embedding::DOUBLE[] AS e FROM corpus_chunk WHERE embedding IS NOT NULL AND len(embedding) = 128 AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0), "
+    "s AS (SELECT a.chunk_id AS id, b.chunk_id AS other, round(list_cosine_similarity(a.e, b.e), 6) AS similarity FROM u a JOIN u b ON a.chunk_id <> b.chunk_id), "
+    "t AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, other) AS rank FROM s QUALIFY rank <= 5) "
+)
+
+ORACLES: dict[str, str] = {
+    "p3_found": _NEAREST + "SELECT DISTINCT least(id, other) AS chunk_a, greatest(id, other) AS chunk_b FROM t WHERE similarity >= 0.9",
+    "p3_nearest": _NEAREST + "SELECT id, other, similarity, rank FROM t WHERE similarity >= 0.9",
+    "p5_found": _survivor_sql(value=False),
+    "p5_golden": "WITH l AS (" + _survivor_sql(value=True) + "), n AS (SELECT match_key, count(*) AS n_records FROM (" + f"SELECT lower({_TRIMMED.format('match_key')}) AS match_key FROM entity_record WHERE match_key IS NOT NULL" + ") GROUP BY 1) "
+    "SELECT match_key, any_value(n_records) AS n_records, " + ", ".join(f"max(value) FILTER (field_name = '{f}') AS {f}" for f in ("name", "weight", "effect", "obtained_from", "description")) + " FROM l JOIN n USING (match_key) GROUP BY 1",
+}

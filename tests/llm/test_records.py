@@ -97,7 +97,7 @@ def test_unmatched_and_codes(spark):
 def test_similar_words_are_exact(spark):
     rng = np.random.default_rng(3)
     words = sorted({"".join(rng.choice(list("abcd"), rng.integers(1, 9))) for _ in range(120)})
-    df = spark.createDataFrame([(w, canonical.grams(w)) for w in words], "word string, grams array<string>")
+    df = spark.createDataFrame([(w, canonical.grams(w)) for w in words], "word string, grams array<bigint>")
     for t in (0.25, 0.5, 0.8, 1.0):
         got = {(r["left_word"], r["right_word"]) for r in canonical.similar_words(df, df, t).collect()}
         sets = {w: set(canonical.grams(w)) for w in words}
