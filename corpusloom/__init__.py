@@ -9,3 +9,10 @@ plans       the registered queries and their SQL oracles
 streaming   Structured Streaming forms of the incremental operators
 llm         training-data operators; optional, nothing else imports it
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with them, so executors need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
