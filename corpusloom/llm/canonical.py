@@ -29,8 +29,12 @@ UNMATCHED = "unmatched"
 _LOOKALIKE = str.maketrans({"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "$": "s", "@": "a", "|": "l", "!": "l"})
 _SOUNDS = (("rn", "m"), ("ks", "x"), ("ph", "f"), ("y", "i"), ("c", "k"), ("w", "v"), ("j", "i"), ("q", "k"), ("z", "s"))
 
-# Words after which the next word is a place or an epithet.
+# Words after which the next word is a place or an epithet, and words that stand before a name.
 _BEFORE_PLACE = ("of", "the")
+_BEFORE_NAME = ("npc", "boss", "item", "weapon", "armor", "spell", "location", "master", "mother", "father", "brother", "sister", "lord", "lady", "sir", "captain", "king", "queen", "saint", "old", "young", "late")
+
+# What takes away from the score of a word: standing as a place or epithet, after another name, being part of a longer word.
+_PLACED, _SECOND, _PART = 0.35, 0.1, 0.1
 
 _WORD = re.compile(r"[a-z0-9$@|!]+")
 _TWICE = re.compile(r"(.)\1+")
@@ -50,35 +54,34 @@ def fold(word: str) -> str:
 
 
 def own_name(name: str) -> str:
-    """The first word of a listed name, folded."""
+    """The first word of a listed name, plain."""
     parts = re.split(r"[\s,]+", name.strip())
-    return fold(plain(parts[0])) if parts else ""
+    return plain(parts[0]).translate(_LOOKALIKE) if parts else ""
 
 
-def name_words(text: str) -> list[tuple[str, bool, bool]]:
-    """(folded word, cut short, after a place word) of each word that may be the own name.
+def name_words(text: str) -> list[tuple[str, bool, float]]:
+    """(plain word, cut short, taken off) of each word that may be the own name.
 
     Words run together into one long word may begin or end with the name: its ends are given too.
     """
     low = plain(text)
-    out, before = [], ""
+    out, end, before = [], 0, ""
     found = list(_WORD.finditer(low))
     for m in found:
-        word = fold(m.group())
+        word = m.group().translate(_LOOKALIKE)
         rest = low[m.end() :].strip()
         cut = rest[:1] in ("~", ".", "…") and not rest.strip(".~… ")
-        placed = before in _BEFORE_PLACE
-        before = m.group()
-        if len(word) < 4 or m.group() in _BEFORE_PLACE:
-            continue
-        out.append((word, cut, placed))
-        if len(word) >= 13:
-            for n in (7, 10, 13):
-                out += [(word[:n], False, placed), (word[-n:], False, placed)]
+        apart = "," in low[end : m.start()]
+        off = _PLACED if before in _BEFORE_PLACE else _SECOND if before and before not in _BEFORE_NAME and not apart else 0.0
+        if len(word) >= 4 and m.group() not in _BEFORE_PLACE:
+            out.append((word, cut, off))
+            if len(word) >= 13:
+                out += [(part, False, off + _PART) for n in range(6, 15) for part in {word[:n], word[-n:]}]
+        before, end = m.group(), m.end()
     if len(found) in (2, 3):
-        joined = fold("".join(m.group() for m in found))
+        joined = "".join(m.group() for m in found).translate(_LOOKALIKE)
         if len(joined) <= 14:
-            out.append((joined, False, False))
+            out.append((joined, False, 0.0))
     return out
 
 
@@ -158,20 +161,20 @@ def similar_words(left: DataFrame, right: DataFrame, similarity: float) -> DataF
 def match_names(values: DataFrame, listed: DataFrame, value: str = "raw_id", accept: float = 0.7, similarity: float = 0.25) -> DataFrame:
     """Distinct values with the listed entity they spell: value, canonical_id, confidence; values without one are left out.
 
-    listed: canonical_id, name. A word after "of" or "the" must be closer, as it names a place or epithet.
+    listed: canonical_id, name. A word after "of" or "the" doesn't count, as it names a place or epithet; a second name and a part of a word must be closer.
     """
     def cut_values(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(v, w, c, p, grams(w)) for v in f["v"] for w, c, p in name_words(v)]
-            yield pd.DataFrame(rows, columns=["v", "word", "cut", "placed", "grams"])
+            rows = [(v, w, c, p, grams(fold(w))) for v in f["v"] for w, c, p in name_words(v)]
+            yield pd.DataFrame(rows, columns=["v", "word", "cut", "off", "grams"])
 
     def cut_names(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(i, w, grams(w)) for i, n in zip(f["canonical_id"], f["name"]) if (w := own_name(n))]
+            rows = [(i, w, grams(fold(w))) for i, n in zip(f["canonical_id"], f["name"]) if (w := own_name(n))]
             yield pd.DataFrame(rows, columns=["canonical_id", "own", "grams"])
 
     distinct = values.where(F.col(value).isNotNull() & (F.trim(value) != "")).select(F.col(value).alias("v")).distinct()
-    words = distinct.mapInPandas(cut_values, "v string, word string, cut boolean, placed boolean, grams array<bigint>")
+    words = distinct.mapInPandas(cut_values, "v string, word string, cut boolean, off double, grams array<bigint>")
     names = listed.where(F.col("canonical_id").isNotNull() & F.col("name").isNotNull()).select("canonical_id", "name").mapInPandas(
         cut_names, "canonical_id string, own string, grams array<bigint>"
     )
@@ -181,7 +184,7 @@ def match_names(values: DataFrame, listed: DataFrame, value: str = "raw_id", acc
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            sure = [spelling(w, n, accept) for w, n in zip(f["left_word"], f["right_word"])]
+            sure = [tuple(map(max, spelling(w, n, accept), spelling(fold(w), fold(n), accept))) for w, n in zip(f["left_word"], f["right_word"])]
             yield pd.DataFrame({"word": f["left_word"], "own": f["right_word"], "whole": [a for a, _ in sure], "short": [b for _, b in sure]})
 
     # few bytes but much work a pair: by number, so that adaptive planning doesn't gather them in one task
@@ -189,7 +192,7 @@ def match_names(values: DataFrame, listed: DataFrame, value: str = "raw_id", acc
     scored = pairs.repartition(tasks).mapInPandas(score, "word string, own string, whole double, short double").where(F.greatest("whole", "short") >= accept)
     ids = names.groupBy("own").agg(F.min("canonical_id").alias("canonical_id"))
     found = words.drop("grams").join(scored, "word").join(ids, "own")
-    sure = F.when(F.col("cut"), F.col("short")).otherwise(F.col("whole")) - F.when(F.col("placed"), 0.15).otherwise(0.0)
+    sure = F.when(F.col("cut"), F.col("short")).otherwise(F.col("whole")) - F.col("off")
     best = found.withColumn("sure", F.round(sure, 4)).where(F.col("sure") >= accept).groupBy("v").agg(F.min(F.struct((-F.col("sure")).alias("s"), "canonical_id")).alias("b"))
     return best.select(F.col("v").alias(value), F.col("b.canonical_id").alias("canonical_id"), (-F.col("b.s")).alias("confidence"))
 
