@@ -9,7 +9,7 @@ those of fields that vanished or appeared.
 
 Defined cases
 -------------
-* null, blank or broken payloads, and payloads that aren't objects, have no fields
+* null, blank or broken payloads, payloads with a key twice, and payloads that aren't objects, have no fields
 * a file without usable records has no fields: all fields of its predecessor are ``removed``
 * a field that is only ever null in a file isn't in it
 * types tied in a file: the first of string, number, boolean, array, object is taken
