@@ -132,7 +132,7 @@ def test_pairs_of_one_thing(spark):
         (4, "s1", "d", "weapon", "Greatsword of Kaldor Venn (DLC)", True, "do you hear the kiln that sealed a tempered oath for those who woke too late in the fen", 33.0, "kiln"),
         (5, "s3", "e", "armor", "Greatsword of Kaldor Venn", False, say, 21.4, "reed"),
         (6, "s1", "f", "weapon", "Greatsword of Kaldor Venn", False, say, 21.4, "reed"),
-        (7, "s1", "f2", "weapon", "Greatsword of Kaldor Venn", False, say, 21.4, "reed"),
+        (7, "s1", "f2", "Weapon ", "Greatsword of Kaldor Venn", False, say, 21.4, " REED"),
     ]
     got = [p for p in matched(spark, [*data, *filler(300)]) if p[1] < 10_000]
     assert got == [(1, 2), (1, 3), (1, 6), (1, 7), (2, 3), (3, 6), (3, 7)]
