@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -62,7 +63,7 @@ def own_name(name: str) -> str:
 def name_words(text: str) -> list[tuple[str, bool, float]]:
     """(plain word, cut short, taken off) of each word that may be the own name.
 
-    Words run together into one long word may begin or end with the name: its ends are given too.
+    A value run together into one long word may begin or end with the name: its ends are given too.
     """
     low = plain(text)
     out, end, before = [], 0, ""
@@ -75,7 +76,7 @@ def name_words(text: str) -> list[tuple[str, bool, float]]:
         off = _PLACED if before in _BEFORE_PLACE else _SECOND if before and before not in _BEFORE_NAME and not apart else 0.0
         if len(word) >= 4 and m.group() not in _BEFORE_PLACE:
             out.append((word, cut, off))
-            if len(word) >= 13:
+            if len(word) >= 13 and len(found) <= 2:  # at most a category before it
                 out += [(part, False, off + _PART) for n in range(6, 15) for part in {word[:n], word[-n:]}]
         before, end = m.group(), m.end()
     if len(found) in (2, 3):
@@ -95,7 +96,7 @@ def distance(a: str, b: str, most: int) -> int:
     """Edits between two words, or ``most`` + 1 if there are more; swapping neighbours counts once."""
     if a == b:
         return 0
-    if abs(len(a) - len(b)) > most:
+    if max(len(a), len(b)) - (Counter(a) & Counter(b)).total() > most:  # letters that one lacks must be edited
         return most + 1
     before, row = None, list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
