@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..session import checkpointed
+
 #: JSON types in the order that breaks ties.
 TYPES = ("string", "number", "boolean", "array", "object")
 
@@ -243,13 +245,13 @@ def canonical_name(field_name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(split), "[^\\p{L}\\p{N}]+", "_"), "^_+|_+$", "")
 
 
-def field_names(files: DataFrame, records: DataFrame, item_key: str = "id") -> DataFrame:
+def field_names(files: DataFrame, records: DataFrame, item_key: str = "id", heads: DataFrame | None = None) -> DataFrame:
     """The column each field of each file goes to: file_id, field_name, column_name.
 
     Renames are followed within a feed: all names of a property lead to the one it had first. Each
     feed's renames (a few per file, not its records) are folded in file order by one task.
     """
-    heads = headers(records)
+    heads = headers(records) if heads is None else heads
     w = Window.partitionBy("feed_id").orderBy(F.col("exported_at").asc_nulls_first(), "file_id")
     steps = files.select("feed_id", "file_id", F.row_number().over(w).alias("step"))
     ren = renames(records, _compared(files, heads), item_key).groupBy("file_id").agg(F.collect_list(F.struct("old_name", "new_name")).alias("renamed"))
@@ -304,17 +306,23 @@ def unified(files: DataFrame, records: DataFrame, item_key: str = "id", max_colu
     gives it. Values that can't be cast to it are null there (they stand in ``unified_long``). Two
     fields of a record that lead to one column: the larger text is kept.
     """
-    heads, names = headers(records), field_names(files, records, item_key)
+    heads = checkpointed(headers(records))  # a row per file and field, used several times
+    names = checkpointed(field_names(files, records, item_key, heads))
     schema = union_schema(heads, names, max_columns)
-    long = unified_long(files, records, item_key)
-    cell = lambda c: F.max(F.when(F.col("column_name") == c, F.col("value")))
     kinds = {c: SQL_TYPES[t] for c, t in schema.items()}
-    wide = long.groupBy("record_id", "file_id").agg(*[cell(c).alias(f"f_{c}") for c in kinds]) if kinds else long.select("record_id", "file_id").distinct()
-
-    def cast(c: str) -> Column:
-        col = F.col(f"`f_{c}`")
+    # each record is parsed once, its fields take their column's name from its file's map, and the columns are looked up
+    by_file = names.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "column_name"))).alias("_names"))
+    text = F.when(F.try_parse_json("payload").isNotNull(), F.from_json("payload", "map<string,string>"))
+    held = records.select("record_id", "file_id", text.alias("_doc")).join(by_file, "file_id", "left")
+    entries = F.transform(F.map_entries("_doc"), lambda e: F.named_struct(F.lit("k"), F.try_element_at("_names", e["key"]), F.lit("v"), e["value"]))
+    ordered = F.array_sort(F.filter(entries, lambda e: e["k"].isNotNull() & e["v"].isNotNull()))
+    last = F.filter("_sorted", lambda e, i: F.coalesce(F.get("_sorted", i + 1)["k"] != e["k"], F.lit(True)))
+    keyed = held.withColumn("_sorted", ordered).select("record_id", "file_id", F.map_from_entries(last).alias("_map"))
+
+    def cell(c: str) -> Column:
+        col = F.try_element_at("_map", F.lit(c))
         if kinds[c] == "double":
             return F.when(F.lower(col).isin("true", "false"), (F.lower(col) == "true").cast("double")).otherwise(col.try_cast("double")).alias(f"f_{c}")
         return col.try_cast(kinds[c]).alias(f"f_{c}")
 
-    return records.select("record_id", "file_id").join(wide, ["record_id", "file_id"], "left").select("record_id", "file_id", *[cast(c) for c in kinds])
+    return keyed.select("record_id", "file_id", *[cell(c) for c in kinds])
