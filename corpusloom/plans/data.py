@@ -51,4 +51,27 @@ def p2_upgrades(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p1_log, p2_found, p2_nodes, p2_items, p2_variants, p2_upgrades)}
 
-ORACLES: dict[str, str] = {}
+_OBJECTS = (
+    "WITH p AS (SELECT page_id, body::JSON AS j FROM api_page WHERE json_valid(body)), "
+    "i AS (SELECT page_id, n AS item_no, json_extract(j, '$.data[' || n || ']') AS o FROM (SELECT page_id, j, unnest(range(json_array_length(j, '$.data')::BIGINT))::INT AS n FROM p WHERE json_type(j, '$.data') = 'ARRAY')), "
+    "v AS (SELECT page_id, item_no, n AS variant_no, json_extract(o, '$.variants[' || n || ']') AS o FROM (SELECT *, unnest(range(json_array_length(o, '$.variants')::BIGINT))::INT AS n FROM i WHERE json_type(o, '$.variants') = 'ARRAY')), "
+    "u AS (SELECT page_id, item_no, variant_no, n AS upgrade_no, json_extract(o, '$.upgrades[' || n || ']') AS o FROM (SELECT *, unnest(range(json_array_length(o, '$.upgrades')::BIGINT))::INT AS n FROM v WHERE json_type(o, '$.upgrades') = 'ARRAY')), "
+    "objects AS (SELECT page_id, item_no, -1 AS variant_no, -1 AS upgrade_no, o FROM i UNION ALL SELECT page_id, item_no, variant_no, -1, o FROM v UNION ALL SELECT page_id, item_no, variant_no, upgrade_no, o FROM u), "
+)
+
+#: Entries by SQL; Python literals are read by exchanging their quotes and names for JSON's.
+_ENTRIES = (
+    _OBJECTS
+    + "f AS (SELECT * EXCLUDE (o), json_extract(o, '$.' || field_name) AS v FROM objects CROSS JOIN (VALUES ('attack'), ('requiredAttributes'), ('scalesWith')) AS n(field_name) WHERE json_type(o) = 'OBJECT'), "
+    "t AS (SELECT * REPLACE (CASE WHEN json_type(v) = 'VARCHAR' THEN CASE WHEN json_valid(v ->> '$') THEN TRY_CAST(v ->> '$' AS JSON) "
+    "ELSE TRY_CAST(replace(replace(replace(replace(v ->> '$', '''', chr(34)), 'None', 'null'), 'True', 'true'), 'False', 'false') AS JSON) END ELSE v END AS v) FROM f), "
+    "e AS (SELECT * EXCLUDE (v, n), n AS entry_no, json_extract_string(v, '$[' || n || '].name') AS name, json_extract_string(v, '$[' || n || '].' || CASE field_name WHEN 'scalesWith' THEN 'scaling' ELSE 'amount' END) AS value "
+    "FROM (SELECT *, unnest(range(json_array_length(v)::BIGINT))::INT AS n FROM t WHERE json_type(v) = 'ARRAY') "
+    "UNION ALL SELECT * EXCLUDE (v), 0, v ->> '$.name', json_extract_string(v, '$.' || CASE field_name WHEN 'scalesWith' THEN 'scaling' ELSE 'amount' END) FROM t WHERE json_type(v) = 'OBJECT' AND list_contains(json_keys(v), 'name') "
+    "UNION ALL SELECT * EXCLUDE (v, n), n - 1, json_keys(v)[n], json_extract_string(v, '$.' || chr(34) || json_keys(v)[n] || chr(34)) "
+    "FROM (SELECT *, unnest(range(1, len(json_keys(v)) + 1))::INT AS n FROM t WHERE json_type(v) = 'OBJECT' AND NOT list_contains(json_keys(v), 'name'))) "
+    "SELECT page_id, item_no, variant_no, upgrade_no, field_name, entry_no, lower(trim(name)) AS entry_name, "
+    "CASE WHEN field_name = 'scalesWith' THEN upper(trim(value)) ELSE round(TRY_CAST(replace(trim(value), ',', '') AS DOUBLE))::BIGINT::VARCHAR END AS entry_value FROM e WHERE trim(name) <> '' AND entry_value IS NOT NULL"
+)
+
+ORACLES: dict[str, str] = {"p2_found": _ENTRIES}
