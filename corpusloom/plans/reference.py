@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions import text as T
 from ..functions import values as V
-from ..operators import incremental, lore, motifs, profile, reconcile, retrieval
+from ..operators import incremental, lore, motifs, ordering, profile, reconcile, retrieval
 from ..session import table
 from ..sources import records, writers
 
@@ -768,3 +768,58 @@ def canonical_weapons(spark: SparkSession, folder: str) -> DataFrame:
     fields = "id string, name string, description string, category string, weight string, attack string, requiredAttributes string, scalesWith string"
     items = readers.envelope(table(spark, folder, "api_page").where("endpoint = 'weapons'"), fields, keep=["page_id"])
     return records.load(items, "weapons", "github_api", "api")
+
+
+# ---- ordering and keeping one ----
+
+
+@query("SELECT doc_id, source, text FROM documents WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1")
+def distinct_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The first document of each text."""
+    rows = _docs(spark, folder).where("text IS NOT NULL").select("doc_id", "source", "text")
+    return reconcile.first_by(rows, ["text"], [F.col("doc_id")])
+
+
+@query("SELECT canonical_id, row_number() OVER (ORDER BY name, canonical_id) AS id FROM canonical_entity")
+def surrogate_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return ordering.numbered(table(spark, folder, "canonical_entity").select("name", "canonical_id"), ["name", "canonical_id"], "id").drop("name")
+
+
+@query("SELECT event_id, user_id, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS next_id FROM events")
+def next_events(spark: SparkSession, folder: str) -> DataFrame:
+    return ordering.followed(table(spark, folder, "events").select("user_id", "event_id"), "user_id", "event_id", "next_id")
+
+
+@query(
+    f"WITH x AS (SELECT text_type, {_TRIM.format('text')} AS t, (CASE lower(trim(text_type)) "
+    + " ".join(f"WHEN '{k}' THEN {v}" for k, v in lore.WEIGHTS.items())
+    + " ELSE 1.0 END)::DOUBLE AS w FROM documents WHERE text_type IS NOT NULL AND text IS NOT NULL), y AS (SELECT *, regexp_split_to_array(t, '\\s+') AS words FROM x WHERE t <> ''), "
+    "z AS (SELECT *, greatest(1, floor(len(words) * (CASE WHEN w >= 1 THEN w - 1 ELSE w END))::BIGINT) AS k FROM y), "
+    "s AS (SELECT text_type, length(t) AS o, length(CASE WHEN w > 1 THEN t || chr(10) || chr(10) || array_to_string(words[1:k], ' ') WHEN w = 1 THEN t ELSE array_to_string(words[1:k], ' ') END) AS l FROM z) "
+    "SELECT text_type, count(*) AS blocks, median(o) AS median_original, median(l) AS median_weighted FROM s GROUP BY 1"
+)
+def weighting_stats(spark: SparkSession, folder: str) -> DataFrame:
+    weights = F.create_map(*[F.lit(v) for kv in lore.WEIGHTS.items() for v in kv])
+    body = T.trim_space("text")
+    rows = _docs(spark, folder).where(F.col("text_type").isNotNull() & (body != "")).select(
+        "text_type", F.length(body).alias("original_length"), F.length(T.scale_block("text", F.coalesce(F.try_element_at(weights, F.lower(F.trim("text_type"))), F.lit(1.0)))).alias("weighted_length")
+    )
+    return lore.weighting_stats(rows)
+
+
+@query("SELECT doc_id FROM documents WHERE trim(text) <> '' AND category IN ('npc', 'boss') AND starts_with(canonical_id, 'npc:') AND (source NOT IN ('impalers') OR source IS NULL)")
+def filtered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    clauses = retrieval.parse_filters(["category=npc,boss", "source!=impalers"])
+    return retrieval.where(_docs(spark, folder), clauses).where((F.trim("text") != "") & F.col("canonical_id").startswith("npc:")).select("doc_id")
+
+
+_NULLS = ["canonical_id", "lang", "source", "text"]
+
+
+@query(
+    "WITH p AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS c, round(100.0 * count(*) FILTER ({c} IS NULL) / count(*), 4) AS p FROM documents" for c in _NULLS)
+    + ") SELECT 'column' AS level, c AS subject, p AS percent FROM p WHERE p >= 1.0 UNION ALL SELECT 'overall', 'nulls', round(avg(p), 4) FROM p HAVING avg(p) >= 0.5"
+)
+def quality_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.alerts(profile.profile(_docs(spark, folder), _NULLS), 1.0, 0.5)
