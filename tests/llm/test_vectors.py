@@ -132,3 +132,32 @@ def test_features_stay_bounded(monkeypatch):
     held.add(np.ones(400), x / np.linalg.norm(x, axis=1, keepdims=True))
     assert len(held.n) <= 50
     assert held.n.sum() == pytest.approx(400)
+
+
+def test_likeness_stays_the_same_at_every_size(monkeypatch):
+    monkeypatch.setattr(clusters, "MOST_FEATURES", 50)
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((400, SIZE))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    held = clusters.Alike(SIZE, 0.9)
+    held.add(np.ones(400), x)
+    assert len(held.n) <= 50
+    assert held.alike == 0.9
+    assert sorted(np.concatenate(clusters.parted(x, 60)).tolist()) == list(range(400))
+    assert max(map(len, clusters.parted(x, 60))) <= 60
+
+
+def sets(found) -> list[list[int]]:  # noqa: ANN001
+    got: dict[int, list[int]] = {}
+    for r in found.collect():
+        got.setdefault(r["cluster"], []).append(r["id"])
+    return sorted(sorted(x) for x in got.values())
+
+
+def test_clusters_are_found_where_features_are_set_aside(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "MOST_FEATURES", 8)
+    monkeypatch.setattr(clusters, "OUTSIDE", 20)
+    mids = np.linalg.qr(np.random.default_rng(2).standard_normal((SIZE, SIZE)))[0]
+    rng = np.random.default_rng(3)
+    vectors = {i: mids[i % 12] + 0.1 * rng.standard_normal(SIZE) for i in range(144)}
+    assert sets(clusters.clusters(frame(spark, vectors), "chunk_id", "embedding", SIZE)) == [list(range(i, 144, 12)) for i in range(12)]
