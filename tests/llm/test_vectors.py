@@ -161,3 +161,19 @@ def test_clusters_are_found_where_features_are_set_aside(spark, monkeypatch):
     rng = np.random.default_rng(3)
     vectors = {i: mids[i % 12] + 0.1 * rng.standard_normal(SIZE) for i in range(144)}
     assert sets(clusters.clusters(frame(spark, vectors), "chunk_id", "embedding", SIZE)) == [list(range(i, 144, 12)) for i in range(12)]
+
+
+def test_loose_cluster(spark):
+    # ten rows of pairwise likeness 0.42: 0.69 to the mean, and no two at 0.5
+    loose = np.linalg.cholesky(0.42 * np.ones((10, 10)) + 0.58 * np.eye(10))
+    vectors = {i: np.concatenate([loose[i], np.zeros(SIZE - 10)]) for i in range(10)} | {100 + i: np.eye(SIZE)[10 + i] for i in range(6)}
+    assert sets(clusters.clusters(frame(spark, vectors), "chunk_id", "embedding", SIZE)) == [list(range(10))]
+
+
+def test_settled_applies_smallest_after_any_number_of_rounds(spark):
+    vectors = {i: np.eye(SIZE)[0] for i in range(12)} | {100 + i: np.eye(SIZE)[1] for i in range(7)}
+    rows = frame(spark, vectors).selectExpr("chunk_id AS id", "embedding AS v")
+    assert np.allclose(clusters.settled(rows, np.eye(SIZE)[:2], 0.65, 10), np.eye(SIZE)[:1])
+    a, b = np.eye(SIZE)[:2], np.eye(SIZE)[1:3]
+    assert clusters.same_means(a, a[::-1])
+    assert not clusters.same_means(a, b)
