@@ -6,8 +6,8 @@ value survives. All fields are decided in one map-side combined aggregate, min o
 criteria, so that a group of any size is reduced where its rows lie and never gathered.
 
 Currency of undated values (:func:`learn_transitions`, :func:`currency_latest`): from dated rows it is learned
-which value tends to follow which. In a group, the latest dated value and the learned precedence
-give a partial order, and an undated value that stands after the latest dated one is the current one.
+which value tends to follow which. In a group, the latest dated value and all learned pairs among its values
+give a partial order, whose topologically latest value is the current one, in groups without dates too.
 Where a data set says that undated rows are the oldest, ``undated_oldest`` does that instead.
 
 Defined cases: keys are compared trimmed and in lower case; null keys form no group; groups of
@@ -17,8 +17,10 @@ smallest record id; NaN and infinite numbers aren't usable as weights; extra col
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,23 +123,54 @@ def learn_transitions(records: DataFrame, key: str, field: str, usable: Column,
 def currency_latest(records: DataFrame, key: str, field: str, usable: Column, date: str = "updated_at") -> DataFrame:
     """Current value of a field in each group: key, value, reason (dated, learned, undated).
 
-    ``dated``: the latest dated value; ``learned``: an undated value that learned precedence puts after
-    it, the one with the strongest precedence; ``undated``: no value has a date, the commonest (then smallest) is taken.
+    The learned pairs among a group's values are its partial order; an undated value that a chain of them leads to from the
+    latest dated one, or any value where none is dated, may be the current one. Of these the ones that no other of them
+    follows are the maximal ones (values that lead to each other count as one place); the commonest, then smallest, is taken.
+    ``dated``: the latest dated value; ``learned``: precedence decided; ``undated``: no value has a date and none precedes another.
     """
     values = _value_times(records, key, field, usable, date)
     order = learn_transitions(records, key, field, usable, date)
+    # values of a group are met by the distinct ones only, and only where a pair was learned
+    known = values.select("_key", "value").join(order.select(F.col("earlier").alias("value"), "later"), "value")
+    pairs = known.join(values.select("_key", F.col("value").alias("later")), ["_key", "later"]).groupBy("_key").agg(F.collect_list(F.struct(F.col("value").alias("a"), F.col("later").alias("b"))).alias("pairs"))
     groups = values.groupBy("_key").agg(
         F.max(F.when(F.col("at").isNotNull(), F.struct("at", "value"))).alias("latest"),
-        F.min(F.when(F.col("at").isNull(), F.struct((-F.col("n")).alias("n"), "value"))).alias("common"),
-    )
-    undated = values.where(F.col("at").isNull()).select("_key", F.col("value").alias("later"))
-    after = (
-        undated.join(groups.where(F.col("latest").isNotNull()).select("_key", F.col("latest.value").alias("earlier")), "_key")
-        .join(order, ["earlier", "later"])
-        .groupBy("_key")
-        .agg(F.min(F.struct((-F.col("net")).alias("net"), F.col("later").alias("value"))).alias("after"))
-    )
-    reason = F.when(F.col("after").isNotNull(), "learned").when(F.col("latest").isNotNull(), "dated").otherwise("undated")
-    return groups.join(after, "_key", "left").select(
-        F.col("_key").alias(key), F.coalesce("after.value", "latest.value", "common.value").alias("value"), reason.alias("reason")
+        F.collect_list(F.when(F.col("at").isNull(), F.struct("n", "value"))).alias("undated"),
     )
+
+    def decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = [_maximal(*r) for r in zip(f["latest"], f["undated"], f["pairs"], strict=True)]
+            yield pd.DataFrame({"_key": f["_key"], "value": [v for v, _ in out], "reason": [r for _, r in out]})
+
+    shown = groups.join(pairs, "_key", "left").select("_key", F.col("latest.value").alias("latest"), "undated", "pairs")
+    return shown.mapInPandas(decide, "_key string, value string, reason string").withColumnRenamed("_key", key)
+
+
+def _maximal(latest: str | None, undated: list, pairs: list | None) -> tuple[str, str]:
+    """The current value of one group, and the reason."""
+    count = {x["value"]: x["n"] for x in undated}
+    after: dict[str, set[str]] = {}
+    for p in pairs if pairs is not None else []:
+        # dated values are no later than the latest one, whatever was learned elsewhere
+        if p["b"] in count:
+            after.setdefault(p["a"], set()).add(p["b"])
+
+    def reach(start: str) -> set[str]:
+        met, left = set(), [start]
+        while left:
+            for b in after.get(left.pop(), ()):
+                if b not in met:
+                    met.add(b)
+                    left.append(b)
+        return met
+
+    from_latest = reach(latest) if latest is not None else set()
+    may = [v for v in count if latest is None or v in from_latest]
+    if not may:
+        return latest, "dated"
+    reached = {v: reach(v) for v in may}
+    # nothing stands after a maximal value that doesn't lead back to it
+    best = [v for v in may if all(v in reached[b] for b in reached[v] if b in reached)]
+    value = min(best, key=lambda v: (-count[v], v))
+    return value, "learned" if latest is not None or any(reached.values()) else "undated"

@@ -66,6 +66,34 @@ def test_golden_and_currency(spark):
     assert (gold["g0"]["obtained_from"], gold["g0"]["n_records"]) == ("tower", 2)
 
 
+def test_currency_follows_chains(spark):
+    data = []
+
+    def put(group, value, date=None):  # noqa: ANN001, ANN202
+        data.append((len(data), group, "N", "d", 1.0, "e", value, 1, date and day(date), "x", "y"))
+
+    for g in range(3):
+        for x, y in (("a", "b"), ("b", "c")):
+            put(f"{x}{y}{g}", x, 1)
+            put(f"{x}{y}{g}", y, 5)
+    for v in "aabc":
+        put("no dates", v)
+    put("chain", "a", 2)
+    put("chain", "b")
+    put("chain", "c")
+    put("before", "c", 2)
+    put("before", "a")
+    put("dated later", "b", 2)
+    put("dated later", "a", 3)
+    put("dated later", "c")
+    df = spark.createDataFrame(data, ENTITY)
+    got = {r["match_key"]: (r["value"], r["reason"]) for r in survivor.currency_latest(df, "match_key", "obtained_from", survivor.usable_text("obtained_from")).collect()}
+    assert got["no dates"] == ("c", "learned")
+    assert got["chain"] == ("c", "learned")
+    assert got["before"] == ("c", "dated")
+    assert got["dated later"] == ("a", "dated")  # only b leads to c, and b is over
+
+
 LISTED = [("npc:kleshoth", "Kleshoth the Gilded Warden", "npc"), ("boss:bispleichi", "Bispleichi", "boss"), ("item:chemakan", "Chemakan Zeissarn", "item"), ("npc:mouszes", "Mouszes, Hermit of the Ferry", "npc")]
 PATTERNS = [("npc:carian_speaker_1*", "npc:a", 0.9), ("npc:carian_speaker_12*", "npc:b", None), ("npc:carian_speaker_1?3", "npc:c", 0.1), ("npc:carian_speaker_9", "npc:d", 0.2), ("npc:carian_speaker_*3", "npc:e", 1.0)]
 
