@@ -223,18 +223,14 @@ def nearest(table: DataFrame, key: str, vector: str, size: int, k: int = 5, leas
     top = ways.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k)
     ids = groups.select(F.col("id").alias("h"), F.slice("ids", 1, k).alias("other_ids"))
     listed = top.join(ids, "h").groupBy("g").agg(F.flatten(F.collect_list(F.transform("other_ids", lambda x: F.named_struct(F.lit("s"), -F.col("similarity"), F.lit("other"), x)))).alias("others"))
-    full = groups.select(F.col("id").alias("g"), "ids").join(listed, "g", "left")
+    full = groups.select(F.col("id").alias("g"), "ids", "same", "again").join(listed, "g", "left")
     none = F.array().cast("array<struct<s:double,other:bigint>>")
     copies = F.transform("ids", lambda x: F.named_struct(F.lit("s"), F.lit(-1.0), F.lit("other"), x))
     all_others = F.concat(F.when(F.size("ids") > 1, copies).otherwise(none), F.coalesce("others", none))
-    each = full.select(F.explode("ids").alias("id"), all_others.alias("all"))
+    # copies beyond the first k + 1 too choose from their group's whole list, as other groups may round to 1.0 and have smaller ids
+    each = rows.select("id", "same", "again").join(full.select("same", "again", all_others.alias("all")), ["same", "again"])
     chosen = each.select("id", F.slice(F.array_sort(F.filter("all", lambda x: x["other"] != F.col("id"))), 1, k).alias("best"))
-    first = chosen.select("id", F.posexplode("best").alias("rank", "x")).select("id", F.col("x.other").alias("other"), (-F.col("x.s")).alias("similarity"), (F.col("rank") + 1).alias("rank"))
-    # copies beyond the first k + 1 have these first ones as their nearest
-    crowded = groups.where(F.size("ids") > k).select("same", "again", "ids")
-    rest = rows.join(crowded, ["same", "again"]).where(~F.array_contains("ids", F.col("id")))
-    more = rest.select("id", F.posexplode(F.slice("ids", 1, k)).alias("rank", "other")).select("id", "other", F.lit(1.0).alias("similarity"), (F.col("rank") + 1).alias("rank"))
-    return first.unionByName(more)
+    return chosen.select("id", F.posexplode("best").alias("rank", "x")).select("id", F.col("x.other").alias("other"), (-F.col("x.s")).alias("similarity"), (F.col("rank") + 1).alias("rank"))
 
 
 def near_pairs(table: DataFrame, key: str, vector: str, size: int, k: int = 5, least: float = 0.9) -> DataFrame:

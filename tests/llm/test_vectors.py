@@ -72,6 +72,15 @@ def test_copies_ties_and_unusable(spark):
     assert found_pairs(spark, vectors) == brute_pairs(vectors)
 
 
+def test_copies_of_another_norm_have_smaller_ids(spark):
+    # 3 * a rounds to similarity 1.0 without being an exact copy, and its ids come before those of a's copies
+    a = np.random.default_rng(5).standard_normal(SIZE)
+    vectors = {i: 3 * a for i in range(1, 4)} | {i: a for i in range(10, 30)}
+    got = neighbours.nearest(frame(spark, vectors), "chunk_id", "embedding", SIZE).collect()
+    assert sorted((r["rank"], r["other"], r["similarity"]) for r in got if r["id"] == 29) == [(i + 1, x, 1.0) for i, x in enumerate((1, 2, 3, 10, 11))]
+    assert found_pairs(spark, vectors) == brute_pairs(vectors)
+
+
 def test_few_rows(spark):
     assert found_pairs(spark, {}) == set()
     assert found_pairs(spark, {1: np.ones(SIZE)}) == set()
