@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,12 +25,21 @@ def usable_vectors(table: DataFrame, key: str, vector: str, size: int) -> DataFr
 
 
 def stack(arrays: pd.Series) -> np.ndarray:
-    """Rows of a column of arrays as a float64 matrix of unit vectors."""
-    x = np.stack([np.asarray(a, np.float64) for a in arrays])
+    """Rows of a column of arrays, or of the bytes of their floats, as a float64 matrix of unit vectors."""
+    if isinstance(arrays.iloc[0], bytes | bytearray):
+        x = np.frombuffer(b"".join(arrays), np.float32).reshape(len(arrays), -1).astype(np.float64)
+    else:
+        x = np.stack([np.asarray(a, np.float64) for a in arrays])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def spread(df: DataFrame, least: int = 8) -> DataFrame:
-    """Rows of a scan spread over the cores where the table lies in few splits; a table in many splits is read as it lies."""
-    tasks = max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df if df.rdd.getNumPartitions() >= min(tasks, df.sparkSession.sparkContext.defaultParallelism) else checkpointed(df.repartition(tasks))
+def packed(vectors: DataFrame, least: int = 8) -> DataFrame:
+    """id and v as the bytes of its floats, checkpointed for repeated reading; spread over the cores where the table lies in few splits."""
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"id": f["id"], "v": [np.asarray(a, np.float32).tobytes() for a in f["v"]]})
+
+    tasks = max(least, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    few = vectors.rdd.getNumPartitions() < min(tasks, vectors.sparkSession.sparkContext.defaultParallelism)
+    return checkpointed((vectors.repartition(tasks) if few else vectors).mapInPandas(pack, "id long, v binary"))
