@@ -110,7 +110,7 @@ def index(spark: SparkSession, a: argparse.Namespace) -> int:
     ordinal = "lore_id" if "lore_id" in lines.columns else "doc_id"
     texts = lore.weighted_texts(lines, "canonical_id", "text_type", "text", ordinal, weights)
     extra = lines.where(F.col("canonical_id").isNotNull()).groupBy("canonical_id").agg(F.min("category").alias("category"), F.array_join(F.array_sort(F.collect_set("source")), "|").alias("source"))
-    vectors = texts.join(extra, "canonical_id", "left").withColumn("embedding", retrieval.hash_encoder(DIMENSIONS)("embedding_text"))
+    vectors = texts.join(extra, "canonical_id", "left").withColumn("embedding", retrieval.HashedWords(DIMENSIONS).column(F.col("embedding_text")))
     writers.write_parquet(vectors, f"{a.output}/vectors")
     writers.write_json(guard.guard_state({"lore": a.lore}, {"dimensions": DIMENSIONS, "weights": weights}), f"{a.output}/guard.json")
     return 0
@@ -118,8 +118,7 @@ def index(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def run_query(spark: SparkSession, a: argparse.Namespace) -> int:
     """Print the best entities for a text."""
-    total = sum(map(ord, a.text))
-    vector = [((total + 31 * i) % 997) / 997 for i in range(DIMENSIONS)]
+    vector = list(spark.range(1).select(retrieval.HashedWords(DIMENSIONS).column(F.lit(a.text)).alias("v")).first()["v"])
     found = retrieval.search(spark.read.parquet(f"{a.index}/vectors"), vector, a.top_k, "canonical_id", "embedding", a.filter, a.mode)
     for r in found.orderBy("position").collect():
         print(json.dumps({k: r[k] for k in ("position", "canonical_id", "score", "text_type", "category")}, ensure_ascii=False))
@@ -147,7 +146,7 @@ def analyse(spark: SparkSession, a: argparse.Namespace) -> int:
         writers.write_parquet(told, f"{a.output}/summaries")
         writers.write_jsonl(told, f"{a.output}/summaries_json")
     else:
-        coded = lines.withColumn("vector", retrieval.hash_encoder(DIMENSIONS)("text"))
+        coded = lines.withColumn("vector", retrieval.HashedWords(DIMENSIONS).column(F.col("text")))
         members = analysis.clustered(analysis.components(coded, "vector", 15), "components", a.clusters)
         density = motifs.cluster_density(members, motifs.hits(lines, taxonomy, "text", [key]), motifs.coverage(lines, taxonomy, key), "cluster_id", key)
         writers.write_parquet(density, f"{a.output}/density")

@@ -121,13 +121,17 @@ def structured_json(text: Column | str) -> Column:
 
 
 def entries(text: Column | str) -> Column:
-    """Entries of a list of objects, or of an object of name: amount, in loosely written text; empty if neither."""
+    """Entries of a list of objects, or of an object of name: amount, in loosely written text; empty if neither.
+
+    An object in a list is an entry if it has a name, else each of its keys is one.
+    """
     doc = structured_json(text)
-    as_list = F.from_json(doc, ENTRY)
-    as_map = F.from_json(doc, "map<string,string>")
-    pairs = F.transform(F.map_entries(as_map), lambda e: F.named_struct(F.lit("name"), e["key"], F.lit("amount"), e["value"], F.lit("scaling"), e["value"], F.lit("value"), e["value"]))
-    is_list = doc.startswith("[")
-    return F.when(is_list, F.filter(as_list, lambda e: e.isNotNull())).when(doc.startswith("{"), pairs).otherwise(F.array().cast(ENTRY))
+    pair = lambda e: F.named_struct(F.lit("name"), e["key"], F.lit("amount"), e["value"], F.lit("scaling"), e["value"], F.lit("value"), e["value"])
+    pairs = lambda m: F.transform(F.map_entries(m), pair)
+    named = lambda m: F.array(F.named_struct(*[x for k in ("name", "amount", "scaling", "value") for x in (F.lit(k), F.try_element_at(m, F.lit(k)))]))
+    objects = F.filter(F.from_json(doc, "array<map<string,string>>"), lambda m: m.isNotNull())
+    listed = F.flatten(F.transform(objects, lambda m: F.when(F.map_contains_key(m, "name"), named(m)).otherwise(pairs(m))))
+    return F.when(doc.startswith("["), listed).when(doc.startswith("{"), pairs(F.from_json(doc, "map<string,string>"))).otherwise(F.array().cast(ENTRY))
 
 
 def _pivot(found: Column, names: dict[str, str], value: str) -> dict[str, Column]:
@@ -158,14 +162,18 @@ def scaling(found: Column | str) -> dict[str, Column]:
     return {t: F.coalesce(F.nullif(F.upper(F.trim(v)), F.lit("")), F.lit("-")) for t, v in _pivot(given, SCALING, "scaling").items()}
 
 
+def _not_below(number: Column) -> Column:
+    return F.when(number.isNotNull(), F.greatest(number, F.lit(0).cast("double")))
+
+
 def negations(found: Column | str) -> dict[str, Column]:
-    """Armor defense columns, not below 0."""
-    return {t: F.greatest(safe_float(v), F.lit(0.0)) for t, v in _pivot(_c(found), NEGATIONS, "amount").items()}
+    """Armor defense columns, not below 0; null where not given."""
+    return {t: _not_below(safe_float(v)) for t, v in _pivot(_c(found), NEGATIONS, "amount").items()}
 
 
 def resistances(found: Column | str) -> dict[str, Column]:
-    """Armor resistance columns, not below 0."""
-    return {t: F.greatest(safe_int(v), F.lit(0)) for t, v in _pivot(_c(found), RESISTANCES, "amount").items()}
+    """Armor resistance columns, not below 0, whole but for poise; null where not given."""
+    return {t: _not_below(safe_float(v)) if t == "poise" else _not_below(safe_int(v)).cast("long") for t, v in _pivot(_c(found), RESISTANCES, "amount").items()}
 
 
 def weapon_type(text: Column | str) -> Column:

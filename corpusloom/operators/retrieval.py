@@ -190,6 +190,53 @@ def hash_encoder(dimensions: int = 16):  # noqa: ANN201
     return encode
 
 
+class HashedWords:
+    """Encoder without a model: words counted in ``dimensions`` places chosen by hash, scaled to unit length; no words give zeros."""
+
+    def __init__(self, dimensions: int) -> None:
+        self.dimensions = dimensions
+
+    def column(self, text: Column) -> Column:
+        words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+        places = F.transform(words, lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % self.dimensions).cast("int"))
+        # a lambda's argument is worked out once, an expression each time it is used
+        sums = lambda p: F.transform(F.sequence(F.lit(0), F.lit(self.dimensions - 1)), lambda i: (F.size(p) - F.size(F.array_remove(p, i))).cast("double"))
+        length = lambda x: F.sqrt(F.aggregate(x, F.lit(0.0), lambda acc, y: acc + y * y))
+        scaled = lambda c: F.transform(c["x"], lambda v: F.when(v > 0, v / c["n"]).otherwise(0.0))
+        counted = F.transform(F.array(places), sums)
+        return F.element_at(F.transform(F.transform(counted, lambda x: F.struct(x.alias("x"), length(x).alias("n"))), scaled), 1)
+
+
+class BatchEncoder:
+    """Encoder around a function of a batch of texts that gives one vector of ``dimensions`` numbers for each (a model, a service)."""
+
+    def __init__(self, encode: Callable[[list[str]], list], dimensions: int, batch: int = 64) -> None:
+        self.encode, self.dimensions, self.batch = encode, dimensions, batch
+
+    def column(self, text: Column) -> Column:
+        encode, dimensions, batch = self.encode, self.dimensions, self.batch
+
+        @F.pandas_udf("array<double>")
+        def run(texts: pd.Series) -> pd.Series:
+            given, out = texts.fillna("").tolist(), []
+            for i in range(0, len(given), batch):
+                part = given[i : i + batch]
+                vectors = [[float(x) for x in v] for v in encode(part)]
+                if len(vectors) != len(part):
+                    raise ValueError(f"{len(part)} texts, but {len(vectors)} vectors")
+                if any(len(v) != dimensions for v in vectors):
+                    raise ValueError(f"a vector doesn't have {dimensions} values")
+                out += vectors
+            return pd.Series(out, dtype=object)
+
+        return run(text)
+
+
+def with_vectors(df: DataFrame, text: str, encoder: HashedWords | BatchEncoder, name: str = "embedding") -> DataFrame:
+    """Rows with the vector of their text; distinct texts of rows aren't sought out, each row is encoded where it lies."""
+    return df.withColumn(name, encoder.column(F.col(text)))
+
+
 def search(df: DataFrame, query: list[float], k: int, key: str, vector: str, filters: list[str] | None = None, mode: str = "balanced", scorer: Callable[[pd.Series], pd.Series] | None = None, pool: int | None = None) -> DataFrame:
     """The whole path: filters, exact top of the candidate window, dedupe by text and meaning, rerank, order by mode (balanced or raw), first k."""
     window = top_k(df, vector, query, candidate_window(k, pool), key, parse_filters(filters or []))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import data, reference
+from . import data, functions, loading, reference
 
 FLAGSHIP = "motif_coverage"
 
-QUERIES = {**reference.QUERIES, **data.QUERIES}
-ORACLES = {**reference.ORACLES, **data.ORACLES}
+QUERIES = {**reference.QUERIES, **loading.QUERIES, **functions.QUERIES, **data.QUERIES}
+ORACLES = {**reference.ORACLES, **loading.ORACLES, **functions.ORACLES, **data.ORACLES}

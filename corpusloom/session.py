@@ -11,6 +11,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -29,13 +30,12 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of checkpoints, which all executors share.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as on one
+    It is the cluster's ``spark.checkpoint.dir``. Only where that is unset, as on one
     machine in tests, a temporary folder is made.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -44,6 +44,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="corpusloom-checkpoint-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

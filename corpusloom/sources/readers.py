@@ -17,15 +17,15 @@ from ..operators.motifs import Motif
 DELIMITERS = (",", "\t", "|", ";")
 
 
-def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
-    """CSV with a header, all columns as text, quoted line breaks allowed."""
-    return spark.read.csv(path, header=True, inferSchema=False, sep=sep, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", lines: bool = False) -> DataFrame:
+    """CSV with a header, all columns as text. Quoted line breaks are allowed, which makes each file one task, unless ``lines``: then large files are split."""
+    return spark.read.csv(path, header=True, inferSchema=False, sep=sep, multiLine=not lines, escape='"')
 
 
-def read_csv_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """All CSV files below a folder of one layout, with table_name (the file's stem) of each row."""
+def read_csv_tree(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
+    """All CSV files below a folder of one layout, with table_name (the file's stem) of each row; ``lines`` as in read_csv."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    df = reader.csv(folder, header=True, inferSchema=False, multiLine=True, escape='"')
+    df = reader.csv(folder, header=True, inferSchema=False, multiLine=not lines, escape='"')
     return df.withColumn("table_name", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""))
 
 
@@ -51,6 +51,13 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"unknown kind of file: {path}")
 
 
+def read_table(spark: SparkSession, parquet: str, csv: str) -> DataFrame:
+    """A Parquet table, or the CSV one where there is none (all columns as text then)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parquet)
+    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    return spark.read.parquet(parquet) if there else read_csv(spark, csv)
+
+
 def data_files(folder: str) -> list[str]:
     """Data files of a folder: csv, json, parquet, sorted."""
     return sorted(str(p) for p in Path(folder).iterdir() if p.suffix.lower() in (".csv", ".json", ".parquet"))
@@ -206,12 +213,13 @@ def html_pairs(pages: DataFrame, page_id: str = "page_id", html: str = "html", l
 
     Returns page_id, section (the h1 to h3 before), name, text.
     """
-    blocks = html_blocks(pages, page_id, html).where(~F.col("tag").isin("tr"))
+    blocks = html_blocks(pages, page_id, html)
     w = Window.partitionBy(page_id).orderBy("pos")
     nxt = blocks.withColumn("next_tag", F.lead("tag").over(w)).withColumn("next_text", F.lead("text").over(w))
+    nxt = nxt.withColumn("before", F.lag("tag").over(w)).withColumn("after", F.coalesce(F.lead("tag", 2).over(w), F.lit("")))
     nxt = nxt.withColumn("section", F.last(F.when(F.col("tag").isin("h1", "h2", "h3"), F.col("text")), ignorenulls=True).over(w))
     follows = (
-        (F.col("tag").isin("td", "th") & (F.col("next_tag") == "td"))
+        (F.col("tag").isin("td", "th") & (F.col("next_tag") == "td") & (F.col("before") == "tr") & ~F.col("after").isin("td", "th"))
         | ((F.col("tag") == "dt") & (F.col("next_tag") == "dd"))
         | (F.col("tag").isin("h4", "h5", "h6") & (F.col("next_tag") == "p"))
     )

@@ -60,7 +60,10 @@ def load(df: DataFrame, domain: str, source: str, kind: str) -> DataFrame:
         raise ValueError(f"unknown domain: {domain}")
     own: list[Column] = []
     weight = V.safe_float(field(df, "weight")).alias("weight")
-    entries = lambda f: V.entries(field(df, f))
+    # read once, as each of their columns looks into the whole list
+    lists = {"weapons": ("attack", "requirements", "scaling"), "armor": ("negation", "resistance"), "spells": ("requirements",)}.get(domain, ())
+    df = df.withColumns({f"_{f}": V.entries(field(df, f)) for f in lists}) if lists else df
+    entries = lambda f: F.col(f"_{f}")
     if domain == "weapons":
         parts = V.damage(entries("attack")) | V.requirements(entries("requirements")) | V.scaling(entries("scaling"))
         own = [V.weapon_type(field(df, "category")).alias("weapon_type"), weight, *[c.alias(n) for n, c in parts.items()]]

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 
+#: Written so that texts come back as they are, white space at their ends and quotes included.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """Parquet, in one pass also where it is partitioned."""
     df.write.mode(mode).option("compression", compression).partitionBy(*(partition_by or [])).parquet(path)
@@ -28,13 +32,13 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    flat(df).write.mode(mode).csv(path, header=True, escape='"')
+    flat(df).write.mode(mode).csv(path, **CSV)
 
 
 def export_by_type(df: DataFrame, folder: str, column: str = "entity_type") -> None:
     """Parquet and CSV parts by entity type, each in one pass over the data."""
     write_parquet(df, f"{folder}/parquet", partition_by=[column])
-    flat(df).write.mode("overwrite").partitionBy(column).csv(f"{folder}/csv", header=True, escape='"')
+    flat(df).write.mode("overwrite").partitionBy(column).csv(f"{folder}/csv", **CSV)
 
 
 def metadata(df: DataFrame, kind: str = "entity_type", edition: str = "is_dlc", sources: str = "sources") -> dict:
@@ -109,9 +113,13 @@ def write_graphml(nodes: DataFrame, edges: DataFrame, path: str, most: int = 1_0
 
 
 def markdown(df: DataFrame, most: int = 200) -> str:
-    """A small table as Markdown."""
-    rows = df.limit(most).collect()
+    """A small table as Markdown. Of a longer one the first rows, and a line that says so."""
+    rows = df.limit(most + 1).collect()
     lines = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
+    if len(rows) > most:
+        rows = rows[:most]
+        shown = ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows]
+        return "\n".join([*lines, *shown, "", f"The first {most} rows; the table has more."])
     return "\n".join(lines + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows])
 
 
