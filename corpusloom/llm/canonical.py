@@ -24,18 +24,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 UNMATCHED = "unmatched"
 
 # Characters typed or scanned for one another, and sounds written in two ways.
 _LOOKALIKE = str.maketrans({"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "$": "s", "@": "a", "|": "l", "!": "l"})
 _SOUNDS = (("rn", "m"), ("ks", "x"), ("ph", "f"), ("y", "i"), ("c", "k"), ("w", "v"), ("j", "i"), ("q", "k"), ("z", "s"))
 
-# Words after which the next word is a place or an epithet, and words that stand before a name.
-_BEFORE_PLACE = ("of", "the")
-_BEFORE_NAME = ("npc", "boss", "item", "weapon", "armor", "spell", "location", "master", "mother", "father", "brother", "sister", "lord", "lady", "sir", "captain", "king", "queen", "saint", "old", "young", "late")
+#: What takes away from the score of a word: standing as a place or epithet, after another name, being part of a longer word.
+PLACED, SECOND, PART = 0.35, 0.1, 0.1
+
+#: Least share of the listed names of several words (and at least two names) in which a word that links the own name to a place or epithet stands.
+LINKING = 0.05
 
-# What takes away from the score of a word: standing as a place or epithet, after another name, being part of a longer word.
-_PLACED, _SECOND, _PART = 0.35, 0.1, 0.1
+#: A word stands before names if it does so in this share of its values, and in so many values at least.
+LEADING, LEADING_VALUES = 0.3, 3
 
 _WORD = re.compile(r"[a-z0-9$@|!]+")
 _TWICE = re.compile(r"(.)\1+")
@@ -60,29 +64,30 @@ def own_name(name: str) -> str:
     return plain(parts[0]).translate(_LOOKALIKE) if parts else ""
 
 
-def name_words(text: str) -> list[tuple[str, bool, float]]:
-    """(plain word, cut short, taken off) of each word that may be the own name.
+def name_words(text: str, shortest: int, longest: int, links: frozenset[str] = frozenset()) -> list[tuple[str, bool, str | None, bool]]:
+    """(plain word, cut short, the word before it, part of a longer word) of each word that may be the own name.
 
-    A value run together into one long word may begin or end with the name: its ends are given too.
+    shortest, longest: letters of the listed own names. A word long enough to hold two of the shortest may have been run together with
+    others: its ends of all such lengths are given too, as are two or three words that together are no longer than a name.
+    The word before is null where there is none or a comma parts the two.
     """
     low = plain(text)
-    out, end, before = [], 0, ""
+    out, end, before = [], 0, None
     found = list(_WORD.finditer(low))
     for m in found:
         word = m.group().translate(_LOOKALIKE)
         rest = low[m.end() :].strip()
         cut = rest[:1] in ("~", ".", "…") and not rest.strip(".~… ")
-        apart = "," in low[end : m.start()]
-        off = _PLACED if before in _BEFORE_PLACE else _SECOND if before and before not in _BEFORE_NAME and not apart else 0.0
-        if len(word) >= 4 and m.group() not in _BEFORE_PLACE:
-            out.append((word, cut, off))
-            if len(word) >= 13 and len(found) <= 2:  # at most a category before it
-                out += [(part, False, off + _PART) for n in range(6, 15) for part in {word[:n], word[-n:]}]
+        held = before if before in links or "," not in low[end : m.start()] else None
+        if m.group() not in links and len(word) >= min(4, shortest):
+            out.append((word, cut, held, False))
+            if len(word) > 2 * shortest:
+                out += [(part, False, held, True) for n in range(shortest, min(longest, len(word) - 1) + 1) for part in {word[:n], word[-n:]}]
         before, end = m.group(), m.end()
     if len(found) in (2, 3):
         joined = "".join(m.group() for m in found).translate(_LOOKALIKE)
-        if len(joined) <= 14:
-            out.append((joined, False, 0.0))
+        if len(joined) <= longest:
+            out.append((joined, False, None, False))
     return out
 
 
@@ -162,23 +167,32 @@ def similar_words(left: DataFrame, right: DataFrame, similarity: float) -> DataF
 def match_names(values: DataFrame, listed: DataFrame, value: str = "raw_id", accept: float = 0.7, similarity: float = 0.25) -> DataFrame:
     """Distinct values with the listed entity they spell: value, canonical_id, confidence; values without one are left out.
 
-    listed: canonical_id, name. A word after "of" or "the" doesn't count, as it names a place or epithet; a second name and a part of a word must be closer.
+    listed: canonical_id, name. A word after one that links names to places or epithets in the list ("of", "the") hardly counts; a second
+    name and a part of a word must be closer. Links, lengths of names and the words that stand before names are taken from the whole tables.
     """
-    def cut_values(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(v, w, c, p, grams(fold(w))) for v in f["v"] for w, c, p in name_words(v)]
-            yield pd.DataFrame(rows, columns=["v", "word", "cut", "off", "grams"])
-
     def cut_names(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(i, w, grams(fold(w))) for i, n in zip(f["canonical_id"], f["name"]) if (w := own_name(n))]
-            yield pd.DataFrame(rows, columns=["canonical_id", "own", "grams"])
+            rows = [(i, w, grams(fold(w)), [m.group() for m in _WORD.finditer(plain(n))][1:]) for i, n in zip(f["canonical_id"], f["name"]) if (w := own_name(n))]
+            yield pd.DataFrame(rows, columns=["canonical_id", "own", "grams", "others"])
 
-    distinct = values.where(F.col(value).isNotNull() & (F.trim(value) != "")).select(F.col(value).alias("v")).distinct()
-    words = distinct.mapInPandas(cut_values, "v string, word string, cut boolean, off double, grams array<bigint>")
     names = listed.where(F.col("canonical_id").isNotNull() & F.col("name").isNotNull()).select("canonical_id", "name").mapInPandas(
-        cut_names, "canonical_id string, own string, grams array<bigint>"
+        cut_names, "canonical_id string, own string, grams array<bigint>, others array<string>"
     )
+    names = checkpointed(names)
+    sizes = names.agg(F.min(F.length("own")).alias("low"), F.max(F.length("own")).alias("high"), F.count_if(F.size("others") > 0).alias("several")).first()
+    shortest, longest = sizes["low"] or 1, sizes["high"] or 1
+    # words in a share of all names: there are at most as many as a name has words, over that share
+    common = names.select(F.explode(F.array_distinct("others")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(2.0, LINKING * sizes["several"]))
+    links = frozenset(r["w"] for r in common.select("w").collect())
+
+    def cut_values(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [(v, w, c, b, p, grams(fold(w))) for v in f["v"] for w, c, b, p in name_words(v, shortest, longest, links)]
+            yield pd.DataFrame(rows, columns=["v", "word", "cut", "before", "part", "grams"])
+
+    distinct = values.where(F.col(value).isNotNull() & (F.trim(value) != "")).select(F.col(value).alias("v")).distinct()
+    words = distinct.mapInPandas(cut_values, "v string, word string, cut boolean, before string, part boolean, grams array<bigint>")
+    words = checkpointed(words)
     left = words.groupBy("word").agg(F.first("grams").alias("grams"))
     right = names.groupBy(F.col("own").alias("word")).agg(F.first("grams").alias("grams"))
     pairs = similar_words(left, right, similarity)
@@ -192,8 +206,14 @@ def match_names(values: DataFrame, listed: DataFrame, value: str = "raw_id", acc
     tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     scored = pairs.repartition(tasks).mapInPandas(score, "word string, own string, whole double, short double").where(F.greatest("whole", "short") >= accept)
     ids = names.groupBy("own").agg(F.min("canonical_id").alias("canonical_id"))
-    found = words.drop("grams").join(scored, "word").join(ids, "own")
-    sure = F.when(F.col("cut"), F.col("short")).otherwise(F.col("whole")) - F.col("off")
+    # words that stand before a listed name as a rule, as titles and kinds do, don't make what follows a second name
+    owned = words.where("before IS NOT NULL AND NOT part").join(ids.select(F.col("own").alias("word"), F.lit(1).alias("is_name")).hint("merge"), "word", "left")
+    counted = owned.groupBy("before").agg(F.count(F.lit(1)).alias("n"), F.count("is_name").alias("named"))
+    leading = counted.where((F.col("named") >= LEADING_VALUES) & (F.col("named") >= LEADING * F.col("n"))).select("before", F.lit(True).alias("leads"))
+    found = words.drop("grams").join(scored.hint("merge"), "word").join(ids.hint("merge"), "own").join(leading.hint("merge"), "before", "left")
+    off = F.when(F.col("before").isin(*links), PLACED).when(F.col("before").isNotNull() & F.col("leads").isNull(), SECOND).otherwise(0.0)
+    off = off + F.when(F.col("part"), PART).otherwise(0.0)
+    sure = F.when(F.col("cut"), F.col("short")).otherwise(F.col("whole")) - off
     best = found.withColumn("sure", F.round(sure, 4)).where(F.col("sure") >= accept).groupBy("v").agg(F.min(F.struct((-F.col("sure")).alias("s"), "canonical_id")).alias("b"))
     return best.select(F.col("v").alias(value), F.col("b.canonical_id").alias("canonical_id"), (-F.col("b.s")).alias("confidence"))
 

@@ -177,3 +177,14 @@ def test_logistic():
     x = rng.standard_normal((4000, 2))
     y = (rng.random(4000) < 1 / (1 + np.exp(-(2 * x[:, 0] - x[:, 1] + 0.5)))).astype(float)
     assert matching.fit_logistic(x, y) == pytest.approx([2, -1, 0.5], abs=0.2)
+
+
+def test_lengths_and_titles_come_from_the_tables(spark):
+    long = "Kvelborastimunathrogdex"
+    listed = [("item:axo", "Axo the Keen", "item"), ("boss:long", f"{long} of Tarn", "boss"), ("npc:mirdel", "Mirdel the Wise", "npc")]
+    raws = ["axo", "AXO the keen", long.upper(), f"{long.lower()}oftarn", f"gate by the {long}"]
+    titled = [f"Archon Mirdel {i}" for i in range(4)] + ["Archon Mirdil"]
+    got = mapped(spark, [*raws, *titled], listed)
+    assert got[:4] == ["item:axo", "item:axo", "boss:long", "boss:long"]
+    assert got[4] == canonical.UNMATCHED
+    assert got[5:] == ["npc:mirdel"] * 5
