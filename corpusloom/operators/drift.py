@@ -274,11 +274,11 @@ def field_names(files: DataFrame, records: DataFrame, item_key: str = "id", head
 
 
 def union_schema(heads: DataFrame, names: DataFrame, max_columns: int = 2000) -> dict[str, str]:
-    """Column name to lattice type over all files; one small row per column reaches the driver.
+    """Column name to lattice type over all types that occur in any file; one small row per column reaches the driver.
 
     More than ``max_columns`` columns are refused: such data have keys for values and want the long form.
     """
-    typed = heads.join(names, ["file_id", "field_name"]).groupBy("column_name").agg(F.array_sort(F.collect_set("json_type")).alias("types"))
+    typed = heads.join(names, ["file_id", "field_name"]).select("column_name", F.explode("types").alias("t")).groupBy("column_name").agg(F.array_sort(F.collect_set("t")).alias("types"))
     rows = typed.limit(max_columns + 1).collect()
     if len(rows) > max_columns:
         raise ValueError(f"more than {max_columns} columns; use unified_long")
@@ -292,19 +292,28 @@ def union_schema(heads: DataFrame, names: DataFrame, max_columns: int = 2000) ->
 
 
 def unified_long(files: DataFrame, records: DataFrame, item_key: str = "id") -> DataFrame:
-    """All records in one long table: record_id, file_id, column_name, json_type, value (text; nested values as JSON)."""
+    """All records in one long table: record_id, file_id, field_name, column_name, json_type, value (text; nested values as JSON).
+
+    Nothing is left out, of however many columns, also where two fields of a record lead to one column.
+    """
     fields = explode_fields(records, keep=["record_id", "file_id"])
     named = fields.join(field_names(files, records, item_key), ["file_id", "field_name"])
     text = F.when(F.col("json_type") == "string", F.variant_get("value", "$", "string")).otherwise(F.to_json("value"))
-    return named.select("record_id", "file_id", "column_name", "json_type", text.alias("value"))
+    return named.select("record_id", "file_id", "field_name", "column_name", "json_type", text.alias("value"))
+
+
+def displaced(files: DataFrame, records: DataFrame, item_key: str = "id") -> DataFrame:
+    """The values that :func:`unified` has no place for, as another field of their record leads to the same column: rows of :func:`unified_long`."""
+    w = Window.partitionBy("record_id", "file_id", "column_name").orderBy(F.desc("value"), F.desc("field_name"))
+    return unified_long(files, records, item_key).withColumn("_n", F.row_number().over(w)).where("_n > 1").drop("_n")
 
 
 def unified(files: DataFrame, records: DataFrame, item_key: str = "id", max_columns: int = 2000) -> DataFrame:
     """All records in one wide table under the union schema.
 
     Columns record_id, file_id, and ``f_<column>`` for each property, of the type that the lattice
-    gives it. Values that can't be cast to it are null there (they stand in ``unified_long``). Two
-    fields of a record that lead to one column: the larger text is kept.
+    gives it, which holds every value that occurs (text where types don't go together). Two fields of a record that
+    lead to one column: the larger text is kept, the other one is a row of :func:`displaced`.
     """
     heads = checkpointed(headers(records))  # a row per file and field, used several times
     names = checkpointed(field_names(files, records, item_key, heads))

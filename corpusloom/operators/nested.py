@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import ast
 import json
+import re
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -36,13 +38,52 @@ BLOCK = 4 << 20
 _IS = {c: np.uint8(ord(c)) for c in '"\\{}[],:'}
 
 
+def _refuse(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
+
+
+_TOKEN = re.compile(r'[ \t\r\n]*(?:(?P<s>"(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*")|(?P<v>-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)|(?P<p>[\[\]{},:]))')
+
+
+def _deep_json(text: str) -> bool:
+    """Whether a text is one JSON value, for texts nested deeper than a recursive parser goes."""
+    end, at, open_, want = len(text.rstrip(" \t\r\n")), 0, [], "value"
+    while at < end:
+        m = _TOKEN.match(text, at)
+        if m is None:
+            return False
+        at, mark = m.end(), m["p"]
+        if want == "end":
+            return False
+        if mark in ("[", "{") and want in ("value", "first"):
+            open_.append(mark)
+            want = "first" if mark == "[" else "first key"
+        elif mark in ("]", "}"):
+            if not open_ or open_.pop() != {"]": "[", "}": "{"}[mark] or want not in ("after", "first" if mark == "]" else "first key"):
+                return False
+            want = "after" if open_ else "end"
+        elif mark == "," and want == "after":
+            want = "value" if open_[-1] == "[" else "key"
+        elif mark == ":" and want == "colon":
+            want = "value"
+        elif mark is None and want in ("key", "first key") and m["s"]:
+            want = "colon"
+        elif mark is None and want in ("value", "first"):
+            want = "after" if open_ else "end"
+        else:
+            return False
+    return want == "end"
+
+
 def is_json(text: str | None) -> bool:
-    """Whether a text is one valid JSON value."""
+    """Whether a text is one valid JSON value (NaN and infinities aren't), of any depth."""
     if not text or text.isspace():
         return False
     try:
-        json.loads(text)
-    except (ValueError, RecursionError):
+        json.loads(text, parse_constant=_refuse)
+    except RecursionError:
+        return _deep_json(text)
+    except ValueError:
         return False
     return True
 
@@ -223,13 +264,33 @@ def entry_list(value: object, value_key: str) -> list[tuple[object, object]]:
     return [(e.get("name"), e.get(value_key)) if isinstance(e, dict) else (None, None) for e in value]
 
 
+def _value_at(x: Index, i: int, order: np.ndarray, holders: np.ndarray, depth: int = 3) -> object:
+    """Value of an element, read from the index down to ``depth`` levels; what is nested deeper is an empty object."""
+    kind = x.bytes[x.start[i]]
+    if kind not in (ord("{"), ord("[")):
+        return json.loads(x.text(i))
+    if depth == 0:
+        return {}
+    inner = order[np.searchsorted(holders, i, "left") : np.searchsorted(holders, i, "right")].tolist()
+    values = [_value_at(x, j, order, holders, depth - 1) for j in inner]
+    return values if kind == ord("[") else {json.loads(x.raw[x.key_start[j] : x.key_end[j]]): v for j, v in zip(inner, values)}
+
+
+def _value(x: Index, i: int) -> object:
+    """Value of a field: by the parser, or by the index where it is nested deeper than the parser goes (entries have two levels)."""
+    try:
+        return json.loads(x.text(i))
+    except RecursionError:
+        return _value_at(x, i, *x.children())
+
+
 def whole_number(value: object) -> str | None:
     """An amount as digits only: 1,200 or " 1200" or 1200.0 as "1200"; None if it is no number."""
     if value is None or isinstance(value, (bool, list, dict)):
         return None
     try:
-        return str(int(round(float(str(value).strip().replace(",", "").replace("_", "")))))
-    except (ValueError, OverflowError):
+        return str(int(Decimal(str(value).strip().replace(",", "").replace("_", "")).to_integral_value()))
+    except (ArithmeticError, ValueError):
         return None
 
 
@@ -291,7 +352,7 @@ def entries(pages: DataFrame, key: str = "page_id", body: str = "body") -> DataF
                             n = place.get(int(x.holder[m]))
                             if n is None:
                                 continue
-                            for e, (name, value) in enumerate(entry_list(json.loads(x.text(m)), value_key)):
+                            for e, (name, value) in enumerate(entry_list(_value(x, m), value_key)):
                                 if name is None or value is None or not str(name).strip():
                                     continue
                                 written = write(value)

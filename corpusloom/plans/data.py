@@ -19,6 +19,16 @@ def p1_unified(spark: SparkSession, folder: str) -> DataFrame:
     return drift.unified(table(spark, folder, "raw_file"), table(spark, folder, "raw_record"))
 
 
+def p1_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value of every record with the column it goes to, without a bound on columns."""
+    return drift.unified_long(table(spark, folder, "raw_file"), table(spark, folder, "raw_record"))
+
+
+def p1_displaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Values that share their column with another field of their record."""
+    return drift.displaced(table(spark, folder, "raw_file"), table(spark, folder, "raw_record"))
+
+
 def p1_log(spark: SparkSession, folder: str) -> DataFrame:
     """The changes in order, with the names and types before and after."""
     return drift.change_log(table(spark, folder, "raw_file"), table(spark, folder, "raw_record"))
@@ -49,7 +59,7 @@ def p2_upgrades(spark: SparkSession, folder: str) -> DataFrame:
     return nested.level_rows(table(spark, folder, "api_page"), "upgrades")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p1_log, p2_found, p2_nodes, p2_items, p2_variants, p2_upgrades)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unified, p1_long, p1_displaced, p1_log, p2_found, p2_nodes, p2_items, p2_variants, p2_upgrades)}
 
 _OBJECTS = (
     "WITH p AS (SELECT page_id, body::JSON AS j FROM api_page WHERE json_valid(body)), "

@@ -165,3 +165,14 @@ def test_random_files_against_brute_force(spark):
                 payloads.append(row)
             files.append((n, f"feed{feed}", day, payloads))
     assert [tuple(map(str, r)) for r in found(spark, files)] == [tuple(map(str, r)) for r in brute(files)]
+
+
+def test_no_value_is_lost(spark):
+    f = spark.createDataFrame([(1, "a", datetime(2024, 1, 1))], "file_id long, feed_id string, exported_at timestamp")
+    rows = [(1, 1, '{"id": "x", "w": 1}'), (2, 1, '{"id": "y", "w": 2}'), (3, 1, '{"id": "z", "w": "heavy", "scalesWith": "A", "scales_with": "B"}')]
+    r = spark.createDataFrame(rows, "record_id long, file_id long, payload string")
+    wide = {x["record_id"]: x for x in drift.unified(f, r).collect()}
+    assert [wide[i]["f_w"] for i in (1, 2, 3)] == ["1", "2", "heavy"]
+    assert wide[3]["f_scales_with"] == "B"
+    assert [(x["record_id"], x["field_name"], x["value"]) for x in drift.displaced(f, r).collect()] == [(3, "scalesWith", "A")]
+    assert drift.unified_long(f, r).count() == 9 - 1

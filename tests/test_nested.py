@@ -102,3 +102,18 @@ def test_flat_tables_and_links(spark):
         path.append(level["name"])
         level = ids.get(level["parent_id"])
     assert path == ["level", None, "upgrades", None, "variants", None, "data", None]
+
+
+def test_depth_and_constants():
+    assert nested.is_json("[" * 100_000 + "]" * 100_000)
+    assert nested.is_json('{"a": [' * 50_000 + "1" + "]}" * 50_000)
+    for bad in ("[" * 100_000 + "]" * 99_999, "[" * 50_000 + "1,]" + "]" * 49_999, "[" * 50_000 + '{"a" 1}' + "]" * 50_000, "[NaN]", "[Infinity]", "-Infinity"):
+        assert not nested.is_json(bad)
+
+
+def test_deep_field_and_large_amounts(spark):
+    deep = "[" * 30_000 + "]" * 30_000
+    body = '{"data": [{"attack": [{"name": "Phy", "amount": 9007199254740993}, {"name": "Mag", "amount": ' + deep + '}, {"name": "Fire", "amount": "1,204"}]}]}'
+    df = spark.createDataFrame([(1, body)], "page_id long, body string")
+    assert [(r["entry_no"], r["entry_name"], r["entry_value"]) for r in nested.entries(df).orderBy("entry_no").collect()] == [(0, "phy", "9007199254740993"), (2, "fire", "1204")]
+    assert nested.flatten(df).count() == 1 + 1 + 1 + 1 + 3 + 6 + 30_000 - 1
