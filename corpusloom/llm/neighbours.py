@@ -93,17 +93,17 @@ _GRID = np.linspace(-6, 6, 4801)
 _NORMAL = 0.5 * (1 + _ERF(_GRID / math.sqrt(2)))
 
 
-def visits(points: np.ndarray, splits: np.ndarray, depth: int, far: float, reach: float, least: float = 2e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def visits(points: np.ndarray, splits: np.ndarray, depth: int, far: float | np.ndarray, reach: float, least: float = 2e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Leaves to look into: row, leaf, and whether it is the row's own.
 
-    A neighbour at distance ``far`` lies across a split at x with probability Phi(-x / far). Branches under ``least`` are
+    A neighbour at distance ``far`` (one for all rows, or each row's own) lies across a split at x with probability Phi(-x / far). Branches under ``least`` are
     left; of the leaves the likeliest are taken until their mass is ``reach``.
     """
     rows, nodes = np.arange(len(points)), np.zeros(len(points), np.int64)
-    mass, own = np.ones(len(points)), np.ones(len(points), bool)
+    mass, own, far = np.ones(len(points)), np.ones(len(points), bool), np.broadcast_to(far, len(points))
     for level in range(depth):
         x = points[rows, level] - splits[nodes]
-        right = np.interp(x / far, _GRID, _NORMAL)
+        right = np.interp(x / far[rows], _GRID, _NORMAL)
         side = x >= 0
         rows = np.concatenate([rows, rows])
         nodes = np.concatenate([2 * nodes + 1, 2 * nodes + 2])
@@ -196,6 +196,84 @@ def similar_pairs(vectors: DataFrame, size: int, least: float, reach: float = 0.
     return verified(near, vectors, least)
 
 
+def search(queries: DataFrame, rows: DataFrame, size: int, k: int = 5, reach: float = 0.995) -> DataFrame:
+    """The k most similar others of each query among all rows, however unlike: id, other, similarity, rank. Both sides: id, v.
+
+    Every row stands with its vector in one leaf of the tree; a query meets its own leaf first. Its k-th best distance there is the
+    stopping test of the second step: only leaves that hold a neighbour nearer than that with some probability are met, until
+    ``reach`` of that probability is covered. A leaf's rows are compared in blocks, of which k for each query leave the task.
+    Queries without near neighbours meet most leaves, so the work grows with such queries times rows: this is for
+    a stated set of queries. Ties as in :func:`nearest`; of queries the ids are unique.
+    """
+    n = rows.count()
+    depth = max(0, min(DIMENSIONS - 1, math.ceil(math.log2(max(n, 1) / BLOCK)), int(math.log2(SAMPLE / 8))))
+    plan = projection(size)
+    splits = fit_tree(_sampled(rows, n, plan[:, :depth]), depth) if depth else np.zeros(0)
+
+    def put(guest: bool):  # noqa: ANN202
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for f in frames:
+                if not len(f):
+                    continue
+                u = stack(f["v"])
+                if not guest:
+                    leaf = visits(u @ plan[:, : max(depth, 1)], splits, depth, 1.0, 0.0)[1] if depth else np.zeros(len(f), np.int64)
+                    at, leaf = np.arange(len(f)), leaf
+                else:
+                    bound = f["bound"].to_numpy(float)
+                    first = np.isnan(bound)
+                    far = np.sqrt(np.maximum(2 - 2 * np.where(first, 1.0, bound), 1e-12))
+                    at, leaf, own = visits(u @ plan[:, : max(depth, 1)], splits, depth, far, reach) if depth else (np.arange(len(f)), np.zeros(len(f), np.int64), np.ones(len(f), bool))
+                    keep = np.where(first[at], own, ~own)  # the own leaf alone at first, the others after it
+                    at, leaf = at[keep], leaf[keep]
+                raw = [x.astype(np.float32).tobytes() if not isinstance(x, bytes) else x for x in (np.asarray(v, np.float32) for v in f["v"])]
+                yield pd.DataFrame({"leaf": leaf, "id": f["id"].to_numpy()[at], "v": [raw[i] for i in at], "guest": guest})
+
+        return run
+
+    placed = "leaf int, id long, v binary, guest boolean"
+    hosts = checkpointed(rows.select("id", "v").mapInPandas(put(False), placed))
+    # a leaf of many rows is several tasks; there are at most as many leaves as the tree has
+    large = hosts.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (8 * BLOCK)).cast("int").alias("parts")).where("parts > 1")
+    parts = {r["leaf"]: r["parts"] for r in large.collect()}
+    number = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in parts.items() for x in kv]), F.col("leaf")), F.lit(1)) if parts else F.lit(1)
+    split = hosts.withColumn("part", F.pmod(F.xxhash64("id"), number).cast("int"))
+
+    def best_of(s: np.ndarray, ids: np.ndarray, query: int) -> list[tuple[int, int, float]]:
+        s = np.where(ids == query, -2.0, s)
+        if len(s) > k:
+            near = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k])
+        else:
+            near = np.arange(len(s))
+        near = near[s[near] > -2]
+        order = near[np.lexsort((ids[near], -s[near]))][:k]
+        return [(query, int(ids[j]), float(s[j])) for j in order]
+
+    def compare(f: pd.DataFrame) -> pd.DataFrame:
+        guest = f["guest"].to_numpy()
+        out: list[tuple[int, int, float]] = []
+        if guest.any() and not guest.all():
+            h, q = stack(f["v"][~guest]), stack(f["v"][guest])
+            ids, asked = f["id"].to_numpy()[~guest], f["id"].to_numpy()[guest]
+            for i in range(0, len(q), 256):
+                s = np.round(q[i : i + 256] @ h.T, 6)
+                for j in range(len(s)):
+                    out += best_of(s[j], ids, int(asked[i + j]))
+        return pd.DataFrame(out, columns=["id", "other", "similarity"])
+
+    def met(asked: DataFrame) -> DataFrame:
+        guests = asked.mapInPandas(put(True), placed).withColumn("part", F.explode(F.sequence(F.lit(0), number - 1)))
+        return split.unionByName(guests).groupBy("leaf", "part").applyInPandas(compare, "id long, other long, similarity double")
+
+    w = Window.partitionBy("id").orderBy(F.desc("similarity"), "other")
+    top = lambda found: found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    asked = queries.select("id", "v")
+    first = checkpointed(top(met(asked.withColumn("bound", F.lit(None).cast("double")))).drop("rank"))
+    reached = first.groupBy("id").agg(F.when(F.count(F.lit(1)) == k, F.min("similarity")).otherwise(-1.0).alias("bound"))
+    further = asked.join(reached.hint("merge"), "id", "left").select("id", "v", F.coalesce("bound", F.lit(-1.0)).alias("bound"))
+    return top(first.unionByName(met(further)).distinct())
+
+
 def verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
     """Pairs a, b with their cosine similarity, rounded to 6 decimals, of those that reach ``least``."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import canonical, clusters, encode, matching, mixing, neighbours, spans, survivor
+from . import canonical, clusters, encode, matching, mixing, neighbours, spans, survivor, vectors
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,6 +18,12 @@ def p3_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "corpus_chunk"), "chunk_id", "embedding", 128)
 
 
+def p3_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five most similar others, however unlike, of every chunk whose id is divisible by 100."""
+    rows = vectors.usable_vectors(table(spark, folder, "corpus_chunk"), "chunk_id", "embedding", 128)
+    return neighbours.search(rows.where("id % 100 = 0"), rows, 128)
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of records of different sources that are one thing."""
     return matching.match(table(spark, folder, "source_entity")).selectExpr("a AS entity_a", "b AS entity_b")
@@ -89,7 +95,7 @@ def p10_share(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p3_found, p3_nearest, p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p7_found, p7_described, p8_ids, p9_selected, p9_shares, p10_found, p10_share)
+    for f in (p3_found, p3_nearest, p3_search, p4_found, p4_confidence, p5_found, p5_golden, p5_currency, p6_found, p7_found, p7_described, p8_ids, p9_selected, p9_shares, p10_found, p10_share)
 }
 
 _TRIMMED = "regexp_replace({0}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
@@ -126,6 +132,7 @@ _NEAREST = (
 ORACLES: dict[str, str] = {
     "p3_found": _NEAREST + "SELECT DISTINCT least(id, other) AS chunk_a, greatest(id, other) AS chunk_b FROM t WHERE similarity >= 0.9",
     "p3_nearest": _NEAREST + "SELECT id, other, similarity, rank FROM t WHERE similarity >= 0.9",
+    "p3_search": _NEAREST.replace("FROM u a JOIN u b ON a.chunk_id <> b.chunk_id", "FROM u a JOIN u b ON a.chunk_id <> b.chunk_id WHERE a.chunk_id % 100 = 0") + "SELECT id, other, similarity, rank FROM t",
     "p5_found": _survivor_sql(value=False),
     "p5_golden": "WITH l AS (" + _survivor_sql(value=True) + "), n AS (SELECT match_key, count(*) AS n_records FROM (" + f"SELECT lower({_TRIMMED.format('match_key')}) AS match_key FROM entity_record WHERE match_key IS NOT NULL" + ") GROUP BY 1) "
     "SELECT match_key, any_value(n_records) AS n_records, " + ", ".join(f"max(value) FILTER (field_name = '{f}') AS {f}" for f in ("name", "weight", "effect", "obtained_from", "description")) + " FROM l JOIN n USING (match_key) GROUP BY 1",

@@ -186,3 +186,26 @@ def test_settled_applies_smallest_after_any_number_of_rounds(spark):
     a, b = np.eye(SIZE)[:2], np.eye(SIZE)[1:3]
     assert clusters.same_means(a, a[::-1])
     assert not clusters.same_means(a, b)
+
+
+def test_search_finds_the_nearest_of_stated_queries(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 40)
+    rng = np.random.default_rng(5)
+    mids = rng.standard_normal((12, SIZE))
+    vectors = {i: mids[i % 12] + 0.7 * rng.standard_normal(SIZE) for i in range(600)} | {1000: mids[0], 1001: mids[0], 1002: None}
+    rows = frame(spark, vectors).where("embedding IS NOT NULL").selectExpr("chunk_id AS id", "embedding AS v")
+    got: dict[int, list] = {}
+    for r in neighbours.search(rows.where("id % 20 = 0 OR id = 1000"), rows, SIZE, 4).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["other"], r["similarity"]))
+    ids, m = usable(vectors)
+    hits = 0
+    for q, found in got.items():
+        s = np.round(m @ m[ids.index(q)], 6)
+        want = sorted((-x, k) for x, k in zip(s.tolist(), ids) if k != q)[:4]
+        assert [r for r, _, _ in sorted(found)] == [1, 2, 3, 4]
+        hits += len({k for _, k in want} & {o for _, o, _ in found})
+    assert set(got) == {*range(0, 600, 20), 1000}
+    assert hits >= 0.9 * 4 * len(got)
+    assert sorted(got[1000])[0][1:] == (1001, 1.0)
+    assert neighbours.search(rows.where("id < 0"), rows, SIZE).count() == 0
+    assert neighbours.search(rows, rows.where("id < 0"), SIZE).count() == 0
