@@ -110,8 +110,8 @@ def shared_spans(documents: DataFrame, key: str = "doc_id", text: str = "text",
 
     held = texts.select("k", "t").mapInPandas(anchors, "k long, h long")
     common = held.groupBy("h").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a < b").select("h")
-    wanted = held.join(common, "h").groupBy("k").agg(F.collect_list("h").alias("hs"))
-    near = texts.select("k", "t").join(wanted, "k")
+    wanted = held.join(common.hint("merge"), "h").groupBy("k").agg(F.collect_list("h").alias("hs"))
+    near = texts.select("k", "t").join(wanted.hint("merge"), "k")
 
     def windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
@@ -121,12 +121,13 @@ def shared_spans(documents: DataFrame, key: str = "doc_id", text: str = "text",
                 small = smallest_in(hasher.windows(codes, anchor), least - anchor + 1)
                 at = np.flatnonzero(np.isin(small, np.asarray(hs, np.int64).view(np.uint64)))
                 w = hasher.windows(codes, least)[at]
-                yield pd.DataFrame({"k": np.full(len(at), k), "p": at.astype(np.int32), "w": w.view(np.int64)})
+                yield pd.DataFrame({"k": np.full(len(at), k), "p": at.astype(np.int32), "w": w.view(np.int64), "h": small[at].view(np.int64)})
 
-    seen = near.mapInPandas(windows, "k long, p int, w long")
-    both = seen.groupBy("w").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a < b").select("w")
-    starts = seen.join(both, "w").groupBy("k").agg(F.collect_list("p").alias("ps"))
-    once = texts.where("n = 1").select("k").join(starts, "k")
+    # two windows are one if their hash and that of their anchor are, so that chance can only strike among windows around one anchor
+    seen = near.mapInPandas(windows, "k long, p int, w long, h long")
+    both = seen.groupBy("w", "h").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a < b").select("w", "h")
+    starts = seen.join(both.hint("merge"), ["w", "h"]).groupBy("k").agg(F.collect_list("p").alias("ps"))
+    once = texts.where("n = 1").select("k").join(starts.hint("merge"), "k")
 
     def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -136,7 +137,7 @@ def shared_spans(documents: DataFrame, key: str = "doc_id", text: str = "text",
 
     parts = once.mapInPandas(merge, "k long, span_start int, span_len int")
     twice = copies.where("n > 1").select("same")
-    whole = long.select("k", F.sha2("t", 256).alias("same"), F.length("t").alias("span_len")).join(twice, "same").select("k", F.lit(0).alias("span_start"), "span_len")
+    whole = long.select("k", F.sha2("t", 256).alias("same"), F.length("t").alias("span_len")).join(twice.hint("merge"), "same").select("k", F.lit(0).alias("span_start"), "span_len")
     return parts.unionByName(whole).withColumnRenamed("k", key)
 
 
