@@ -122,23 +122,33 @@ def similar_names(a: DataFrame, b: DataFrame, threshold: float, blocks: list[str
     return distinct.withColumn("score", similarity.batch_ratio("a", "b")).where(F.col("score") >= threshold)
 
 
+#: Letters of a pattern that ids are joined on.
+BEGINNING = 8
+
+
 def glob_regex(pattern: Column | str) -> Column:
     """Regular expression of a glob with * and ?."""
     p = F.col(pattern) if isinstance(pattern, str) else pattern
     return F.concat(F.lit("(?s)^"), F.replace(F.replace(F.regexp_replace(p, r"([^\p{L}\p{N}_*?])", r"\\$1"), F.lit("*"), F.lit(".*")), F.lit("?"), F.lit(".")), F.lit("$"))
 
 
-def glob_alias(ids: DataFrame, patterns: DataFrame, raw: str, pattern: str = "pattern", canonical: str = "canonical_id", most_patterns: int = 20_000) -> DataFrame:
+def glob_alias(ids: DataFrame, patterns: DataFrame, raw: str, pattern: str = "pattern", canonical: str = "canonical_id", most_patterns: int | None = None) -> DataFrame:
     """Each raw id with its canonical id: of the patterns that match, the one with fewest wildcards, then the longest, then
     the smallest; without one the id itself. Patterns that give the id itself count as none.
 
-    The join is by pattern match; it runs on distinct ids, and the patterns, whose number is checked, go to every task.
+    Distinct ids meet only the patterns that begin like them: both are joined on the first letters before a pattern's first wildcard, up to
+    ``BEGINNING`` of them. Patterns that begin with a wildcard meet every id. ``most_patterns`` refuses larger tables, if given.
     """
-    if patterns.limit(most_patterns + 1).count() > most_patterns:
-        raise ValueError(f"more than {most_patterns} patterns; join them by a literal prefix instead")
-    known = patterns.select(F.col(pattern).alias("_p"), F.col(canonical).alias("_c"), glob_regex(pattern).alias("_r"), F.length(F.regexp_replace(pattern, r"[^*?\[]", "")).alias("_w"))
-    distinct = ids.select(raw).where(F.col(raw).isNotNull()).distinct()
-    hits = distinct.join(F.broadcast(known), F.rlike(F.col(raw), F.col("_r")) & (F.col("_c") != F.col(raw)))
+    if most_patterns is not None and patterns.limit(most_patterns + 1).count() > most_patterns:
+        raise ValueError(f"more than {most_patterns} patterns")
+    begin = F.substring(F.regexp_extract(pattern, r"^[^*?\[]*", 0), F.lit(1), F.lit(BEGINNING))
+    known = patterns.where(F.col(pattern).isNotNull()).select(
+        F.col(pattern).alias("_p"), F.col(canonical).alias("_c"), glob_regex(pattern).alias("_r"), F.length(F.regexp_replace(pattern, r"[^*?\[]", "")).alias("_w"), begin.alias("_b")
+    )
+    lengths = [r["n"] for r in known.select(F.length("_b").alias("n")).distinct().collect()]  # BEGINNING + 1 at most
+    begun = F.array_distinct(F.transform(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: F.substring(F.col(raw), F.lit(1), n)))
+    distinct = ids.select(raw).where(F.col(raw).isNotNull()).distinct().select(raw, F.explode(begun).alias("_b"))
+    hits = distinct.join(known, "_b").where(F.rlike(F.col(raw), F.col("_r")) & (F.col("_c") != F.col(raw)))
     best = hits.groupBy(raw).agg(F.min_by("_c", F.struct("_w", -F.length("_p"), "_p")).alias("_found"))
     return ids.join(best, raw, "left").withColumn(canonical, F.coalesce("_found", raw)).drop("_found")
 

@@ -84,4 +84,13 @@ _ENTRIES = (
     "CASE WHEN field_name = 'scalesWith' THEN upper(trim(value)) ELSE round(TRY_CAST(replace(trim(value), ',', '') AS DOUBLE))::BIGINT::VARCHAR END AS entry_value FROM e WHERE trim(name) <> '' AND entry_value IS NOT NULL"
 )
 
-ORACLES: dict[str, str] = {"p2_found": _ENTRIES}
+#: Every element by SQL, numbered in the order in which they stand.
+_NODES = (
+    "WITH t AS (SELECT page_id, t.id, t.parent, t.key, t.type, t.atom FROM api_page, json_tree(body) AS t WHERE json_valid(body)), "
+    "n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY id) - 1 AS node_id, row_number() OVER (PARTITION BY page_id, parent ORDER BY id) - 1 AS ordinal FROM t) "
+    "SELECT n.page_id, n.node_id, p.node_id AS parent_id, n.ordinal, CASE WHEN p.type = 'OBJECT' THEN n.key END AS name, "
+    "CASE n.type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind, "
+    "CASE WHEN n.type NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN n.atom ->> '$' END AS value FROM n LEFT JOIN n AS p ON p.page_id = n.page_id AND p.id = n.parent"
+)
+
+ORACLES: dict[str, str] = {"p2_found": _ENTRIES, "p2_nodes": _NODES}

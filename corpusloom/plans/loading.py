@@ -54,10 +54,10 @@ def _lookup(text: str, names: dict[str, str]) -> str:
     return f"CASE {text} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items()) + " END"
 
 
-def _filled(want: str) -> str:
+def _filled(want: str, fields: tuple[str, ...]) -> str:
     """SQL of the first filled of the fields an attribute goes by."""
-    parts = [f"nullif(trim(json_extract_string(p, '$.\"{n}\"')), '')" for n in records.NAMES[want] if n in _FIELDS]
-    return f"coalesce({', '.join(parts)}, NULL)"
+    parts = [f"nullif(trim(json_extract_string(p, '$.\"{n}\"')), '')" for n in records.NAMES[want] if n in fields]
+    return f"coalesce({', '.join([*parts, 'NULL'])})"
 
 
 def _doc(text: str) -> str:
@@ -139,8 +139,11 @@ def _own(domain: str) -> dict[str, str]:
 _SLUG = "regexp_replace(regexp_replace(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\s-]', '', 'g'), '[-\\s]+', '_', 'g'), '^_+|_+$', '', 'g')"
 
 
-def load_sql(domain: str, source: str, kind: str, columns: list[str]) -> str:
-    """SQL of a domain loader over raw records."""
+_RAW = "SELECT record_id, payload::JSON AS p FROM raw_record WHERE json_valid(payload)"
+
+
+def load_sql(domain: str, source: str, kind: str, columns: list[str], rows: str = _RAW, fields: tuple[str, ...] = _FIELDS) -> str:
+    """SQL of a domain loader over JSON objects ``p``."""
     wants = [w for w in records.NAMES if w not in ("attack", "requirements", "scaling", "negation", "resistance")]
     lists = {"atk": "attack", "rq": "requirements", "sc": "scaling", "ne": "negation", "re": "resistance"}
     own = _own(domain)
@@ -150,8 +153,8 @@ def load_sql(domain: str, source: str, kind: str, columns: list[str]) -> str:
     }
     picked = {**shared, **own}
     return (
-        "WITH r AS (SELECT record_id, payload::JSON AS p FROM raw_record WHERE json_valid(payload)), "
-        f"t AS (SELECT record_id, {', '.join(f'{_filled(w)} AS {w}' for w in wants)}, {', '.join(f'{_filled(w)} AS {k}_text' for k, w in lists.items())} FROM r), "
+        f"WITH r AS ({rows}), "
+        f"t AS (SELECT {', '.join(f'{_filled(w, fields)} AS {w}' for w in wants)}, {', '.join(f'{_filled(w, fields)} AS {k}_text' for k, w in lists.items())} FROM r), "
         f"d AS (SELECT *, {', '.join(f'{_doc(f'{k}_text')} AS {k}_doc' for k in lists)} FROM t), "
         f"e AS (SELECT *, {', '.join(f'{_entries(f'{k}_doc')} AS {k}' for k in lists)} FROM d) "
         f"SELECT {', '.join(f'{picked[c]} AS {c}' for c in columns)} FROM e WHERE name IS NOT NULL"
@@ -175,6 +178,20 @@ for _domain in records.DOMAINS:
         _loader(_domain, _source, _kind)
 
 
+#: Fields of API items that its loader reads, and the items that are objects.
+_API_FIELDS = ("id", "name", "description", "category", "weight", "attack", "requiredAttributes", "scalesWith")
+_API_ITEMS = (
+    "SELECT o AS p FROM (SELECT unnest((body::JSON -> '$.data')::JSON[]) AS o FROM api_page WHERE endpoint = 'weapons' AND json_valid(body) AND json_type(body::JSON, '$.data') = 'ARRAY') WHERE json_type(o) = 'OBJECT'"
+)
+
+
+@query(load_sql("weapons", "github_api", "api", [*_COMMON, *_own("weapons")], _API_ITEMS, _API_FIELDS))
+def canonical_weapons(spark: SparkSession, folder: str) -> DataFrame:
+    """Weapons of the API pages' envelopes as canonical records."""
+    items = readers.envelope(table(spark, folder, "api_page").where("endpoint = 'weapons'"), ", ".join(f"{n} string" for n in _API_FIELDS), keep=["page_id"])
+    return records.load(items, "weapons", "github_api", "api")
+
+
 # ---- round trips ----
 
 

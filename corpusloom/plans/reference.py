@@ -760,16 +760,6 @@ def meta_maps(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("record_id", "entity_type", "source", F.size(records.meta_map(rows, ["record_id", "entity_type", "source"])).alias("n_meta"))
 
 
-@query()
-def canonical_weapons(spark: SparkSession, folder: str) -> DataFrame:
-    """Weapons of the API pages as canonical records; tested on fixtures."""
-    from ..sources import readers
-
-    fields = "id string, name string, description string, category string, weight string, attack string, requiredAttributes string, scalesWith string"
-    items = readers.envelope(table(spark, folder, "api_page").where("endpoint = 'weapons'"), fields, keep=["page_id"])
-    return records.load(items, "weapons", "github_api", "api")
-
-
 # ---- ordering and keeping one ----
 
 
