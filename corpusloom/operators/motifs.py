@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import checkpointed
 
 
 @dataclass(frozen=True)
@@ -35,16 +36,17 @@ def hits(lines: DataFrame, motifs: list[Motif], text: str = "text", keep: list[s
 
 
 def coverage(lines: DataFrame, motifs: list[Motif], line_id: str, text: str = "text", first: int = 5) -> DataFrame:
-    """Of each motif: match_count, coverage_pct of all lines (2 decimals) and the first matching ids. One pass.
+    """Of each motif: match_count, coverage_pct of all lines (2 decimals) and the first matching ids. Texts are read once.
 
     The smallest ids are found by a bounded aggregate, never by collecting the matches.
     """
-    found = flags(motifs, text, examples=False)
-    wide = lines.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(f).alias(f"_m{i}") for i, f in enumerate(found.values())])
-    meta = F.array(*[F.struct(F.lit(m.slug).alias("motif_slug"), F.lit(m.label).alias("label"), F.lit(m.category).alias("category"), F.col(f"_m{i}").alias("match_count")) for i, m in enumerate(motifs)])
-    counts = wide.select("_n", F.inline(meta))
+    found = checkpointed(hits(lines, motifs, text, [line_id], examples=False))
+    meta = [F.struct(F.lit(m.slug).alias("motif_slug"), F.lit(m.label).alias("label"), F.lit(m.category).alias("category")) for m in motifs]
+    every = lines.agg(F.count(F.lit(1)).alias("_n")).select("_n", F.inline(F.array(*meta)))
+    matched = found.groupBy("motif_slug").agg(F.count(F.lit(1)).alias("match_count"))
+    counts = every.join(matched, "motif_slug", "left").fillna(0, ["match_count"])
     w = Window.partitionBy("motif_slug").orderBy(line_id)
-    firsts = hits(lines, motifs, text, [line_id], examples=False).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= first)
+    firsts = found.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= first)
     listed = firsts.groupBy("motif_slug").agg(F.array_sort(F.collect_list(line_id)).alias("sample_ids"))
     share = F.round(100.0 * F.col("match_count") / F.greatest(F.col("_n"), F.lit(1)), 2)
     return counts.join(listed, "motif_slug", "left").select("motif_slug", "label", "category", "match_count", share.alias("coverage_pct"), "sample_ids")

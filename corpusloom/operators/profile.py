@@ -10,9 +10,10 @@ from pyspark.sql.types import NumericType
 
 
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row per column: column_name, n_rows, null_percent, n_unique, min, max, mean, std (4 decimals; numbers only). One pass.
+    """One row per column: column_name, n_rows, null_percent, n_unique, min, max, mean, std (4 decimals; numbers only).
 
-    std is the sample deviation, 0 for a single value.
+    std is the sample deviation, 0 for a single value. Distinct values are counted over (column, value) rows, which are grouped where they
+    lie first, so that no row is copied for each column.
     """
     columns = columns or df.columns
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
@@ -22,16 +23,19 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         as_number = x.cast("double") if c in numeric else F.lit(None).cast("double")
         aggs += [
             F.struct(
-                F.count(x).alias("n"), F.count_distinct(x).alias("u"), F.min(as_number).alias("lo"), F.max(as_number).alias("hi"), F.avg(as_number).alias("mean"),
+                F.count(x).alias("n"), F.min(as_number).alias("lo"), F.max(as_number).alias("hi"), F.avg(as_number).alias("mean"),
                 F.when(F.count(as_number) > 1, F.stddev_samp(as_number)).when(F.count(as_number) == 1, 0.0).alias("std"),
             ).alias(f"_c{i}")
         ]
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_c{i}").alias("s")) for i, c in enumerate(columns)])
-    long = wide.select("_n", F.inline(rows))
+    text = lambda c: F.to_json(F.struct(F.col(c).alias("x")), {"ignoreNullFields": "false"}) if "<" in dict(df.dtypes)[c] else (F.col(c) + 0.0 if dict(df.dtypes)[c] in ("double", "float") else F.col(c)).cast("string")
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.when(F.col(c).isNotNull(), text(c)).alias("v")) for c in columns]))).where(F.col("v").isNotNull())
+    unique = values.groupBy("column_name", "v").agg(F.lit(1).alias("one")).groupBy("column_name").agg(F.count(F.lit(1)).alias("u"))
+    long = wide.select("_n", F.inline(rows)).join(unique, "column_name", "left").fillna(0, ["u"])
     share = F.when(F.col("_n") > 0, F.round(100.0 * (F.col("_n") - F.col("s.n")) / F.col("_n"), 4)).otherwise(0.0)
     return long.select(
-        "column_name", F.col("_n").alias("n_rows"), share.alias("null_percent"), F.col("s.u").alias("n_unique"),
+        "column_name", F.col("_n").alias("n_rows"), share.alias("null_percent"), F.col("u").alias("n_unique"),
         *[F.round(f"s.{k}", 4).alias(f"{name}_value") for k, name in (("lo", "min"), ("hi", "max"), ("mean", "mean"), ("std", "std"))],
     )
 

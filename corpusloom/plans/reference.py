@@ -11,7 +11,7 @@ from ..functions import similarity as S
 from ..functions import text as T
 from ..functions import values as V
 from ..operators import incremental, lore, motifs, ordering, profile, reconcile, retrieval
-from ..session import table
+from ..session import checkpointed, table
 from ..sources import records, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,8 +196,8 @@ _QUOTES = (
 )
 
 
-def _quotes(spark: SparkSession, folder: str) -> DataFrame:
-    own = _hits(spark, folder).where("canonical_id IS NOT NULL")
+def _quotes(spark: SparkSession, folder: str, found: DataFrame | None = None) -> DataFrame:
+    own = (_hits(spark, folder) if found is None else found).where("canonical_id IS NOT NULL")
     return motifs.quotes(_docs(spark, folder), own, MOTIFS, "canonical_id", "doc_id", "text")
 
 
@@ -214,10 +214,10 @@ def motif_quotes(spark: SparkSession, folder: str) -> DataFrame:
     "motif_slugs, coalesce(n_quotes, 0) AS n_quotes, quote FROM s JOIN g USING (canonical_id) LEFT JOIN c USING (canonical_id)"
 )
 def heuristic_summaries(spark: SparkSession, folder: str) -> DataFrame:
-    found = _hits(spark, folder)
+    found = checkpointed(_hits(spark, folder))
     summary = motifs.entity_summary(_docs(spark, folder), found, "canonical_id", "doc_id", "category")
     tops = motifs.top_motifs(motifs.entity_motif_stats(found, "canonical_id", "doc_id"), MOTIFS, "canonical_id")
-    out = motifs.heuristic_summary(summary, tops, _quotes(spark, folder), "canonical_id", "category", "text")
+    out = motifs.heuristic_summary(summary, tops, _quotes(spark, folder, found), "canonical_id", "category", "text")
     return out.withColumn("motif_slugs", F.array_join("motif_slugs", ","))
 
 
