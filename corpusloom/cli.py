@@ -25,7 +25,7 @@ DIMENSIONS = 64
 def _entities(spark: SparkSession, folder: str) -> DataFrame:
     """Entities of all files of a folder; a file's stem is its table, "dlc" in its path its edition."""
     out = None
-    for i, path in enumerate(readers.data_files(folder)):
+    for i, path in enumerate(readers.data_files(folder, spark)):
         df = readers.read_any(spark, path)
         kind = "dlc" if "dlc" in path.lower() else "api" if path.endswith(".json") else "base"
         stem = Path(path).stem.lower()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .ordering import filled_forward
 
 # Weights of text types in composed texts; 1 for others.
 WEIGHTS = {"description": 1.4, "impalers_excerpt": 1.7, "quote": 1.3, "dialogue": 0.7, "lore": 1.2, "effect": 0.7, "obtained_from": 0.8, "drops": 0.8}
@@ -28,7 +29,7 @@ def union_lines(*parts: DataFrame) -> DataFrame:
     return kept.select("lore_id", *[F.col(f"r.{c}").alias(c) for c in out.columns if c not in ("lore_id", "_part")])
 
 
-def weighted_texts(lines: DataFrame, canonical_id: str, text_type: str, text: str, ordinal: str, weights: dict[str, float] | None = None, most_chars: int | None = None) -> DataFrame:
+def weighted_texts(lines: DataFrame, canonical_id: str, text_type: str, text: str, ordinal: str, weights: dict[str, float] | None = None) -> DataFrame:
     """One row per entity: its lines joined by text type, scaled by the type's weight, as labelled sections.
 
     Columns: canonical_id, text (sections unscaled), embedding_text (scaled), text_type (of the greatest weight),
@@ -91,5 +92,4 @@ def speaker_audit(lines: DataFrame, found: DataFrame, prefix: str, canonical_id:
 
 def forward_filled(df: DataFrame, value: str, within: list[str], order: str) -> DataFrame:
     """``value`` with nulls replaced by the last one before them in the order."""
-    w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(value, F.last(value, ignorenulls=True).over(w))
+    return filled_forward(df, value, within, order)

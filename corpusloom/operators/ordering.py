@@ -46,3 +46,28 @@ def followed(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
     joined = here.join(F.broadcast(edges), "_part", "left")  # a row per partition
     following = F.coalesce(F.col("_next"), F.when(F.col("_g").isNotNull(), F.struct(F.col("_g").alias("g"), F.col("_o").alias("o"))))
     return joined.withColumn(name, F.when(following["g"] == F.col(group), following["o"])).drop("_part", "_next", "_g", "_o")
+
+
+def filled_forward(df: DataFrame, value: str, within: list[str], order: str) -> DataFrame:
+    """``value`` with nulls replaced by the last one before them in the order of their group.
+
+    A group of any size lies in as many partitions as it needs; what a partition hands on to the next one (a row per partition
+    reaches the driver) is the last value of the group it ends with.
+    """
+    group = F.to_json(F.struct(*within), {"ignoreNullFields": "false"})
+    spread = _ranged(df, [*within, order]).withColumn("_g", group)
+    place = F.struct(*within, order)
+    ends = spread.groupBy("_part").agg(
+        F.min_by("_g", place).alias("first"), F.max_by("_g", place).alias("last"), F.max_by(F.when(F.col(value).isNotNull(), F.struct("_g", value)), F.when(F.col(value).isNotNull(), place)).alias("held")
+    )
+    carried, at = [], (None, None)
+    for r in sorted(ends.collect(), key=lambda r: r["_part"]):
+        carried.append((r["_part"], *at))
+        if r["held"] is not None and r["held"]["_g"] == r["last"]:
+            at = (r["last"], r["held"][value])
+        elif not (r["first"] == r["last"] == at[0]):
+            at = (None, None)
+    edges = df.sparkSession.createDataFrame(carried, f"_part int, _cg string, _cv {dict(df.dtypes)[value]}")
+    w = Window.partitionBy("_part", *within).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = F.coalesce(F.last(value, ignorenulls=True).over(w), F.when(F.col("_cg") == F.col("_g"), F.col("_cv")))
+    return spread.join(F.broadcast(edges), "_part", "left").withColumn(value, filled).select(*df.columns)  # a row per partition

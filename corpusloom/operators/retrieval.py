@@ -60,6 +60,14 @@ def where(df: DataFrame, clauses: dict[str, Clause]) -> DataFrame:
     return df
 
 
+def narrowed(df: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """Rows whose column has one of the values (all rows without values); an error if there is none, as what follows would be empty for a misspelling."""
+    out = df.where(F.col(column).isin(*values)) if values else df
+    if values and out.isEmpty():
+        raise ValueError(f"no rows with {column} in {sorted(values)}")
+    return out
+
+
 def score_udf(query: list[float], metric: str = "cosine"):  # noqa: ANN201
     """Similarity (cosine, inner) or distance (l2) of a column of vectors to one query, a batch at a time; null for other sizes."""
     q = np.asarray(query, np.float64)

@@ -53,6 +53,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _path(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, on a cluster's storage or this machine's."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists; an error of the storage is raised, not taken for absence."""
+    at, system = _path(spark, path)
+    return system.exists(at)
+
+
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of what a folder holds, sorted."""
+    at, system = _path(spark, folder)
+    return sorted(str(x.getPath().toString()) for x in system.listStatus(at))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of a data folder."""
     return utc(spark).read.parquet(f"{folder}/{name}.parquet")

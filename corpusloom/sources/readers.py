@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import values as V
 from ..operators.motifs import Motif
+from ..session import listed, there
 
 DELIMITERS = (",", "\t", "|", ";")
 
@@ -53,19 +54,18 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table(spark: SparkSession, parquet: str, csv: str) -> DataFrame:
     """A Parquet table, or the CSV one where there is none (all columns as text then)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parquet)
-    there = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    return spark.read.parquet(parquet) if there else read_csv(spark, csv)
+    return spark.read.parquet(parquet) if there(spark, parquet) else read_csv(spark, csv)
 
 
-def data_files(folder: str) -> list[str]:
-    """Data files of a folder: csv, json, parquet, sorted."""
-    return sorted(str(p) for p in Path(folder).iterdir() if p.suffix.lower() in (".csv", ".json", ".parquet"))
+def data_files(folder: str, spark: SparkSession | None = None) -> list[str]:
+    """Data files of a folder: csv, json, parquet, sorted. With a session also of a cluster's storage."""
+    found = listed(spark, folder) if spark else [str(p) for p in Path(folder).iterdir()]
+    return sorted(p for p in found if p.lower().endswith((".csv", ".json", ".parquet")))
 
 
-def existing(candidates: list[str]) -> str | None:
-    """First candidate that exists."""
-    return next((c for c in candidates if Path(c).exists()), None)
+def existing(candidates: list[str], spark: SparkSession | None = None) -> str | None:
+    """First candidate that exists; with a session also on a cluster's storage."""
+    return next((c for c in candidates if (there(spark, c) if spark else Path(c).exists())), None)
 
 
 def best_language_path(paths: list[str]) -> str | None:

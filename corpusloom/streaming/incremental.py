@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..session import there
+
 
 def once(stream: DataFrame, keys: list[str], at: str, late: str) -> DataFrame:
     """Each signature once within the watermark: repeats that arrive no later than ``late`` after it are dropped."""
@@ -56,10 +58,7 @@ def each_batch(stream: DataFrame, manifest_path: str, keys: list[str], process:
 
     def run(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        try:
-            seen = spark.read.parquet(manifest_path).select(*keys)
-        except Exception:  # noqa: BLE001  no manifest yet
-            seen = batch.select(*keys).limit(0)
+        seen = spark.read.parquet(manifest_path).select(*keys) if there(spark, manifest_path) else batch.select(*keys).limit(0)
         fresh = batch.join(seen, keys, "left_anti").dropDuplicates(keys).persist()
         process(fresh)
         fresh.select(*keys).withColumn("recorded_at", F.current_timestamp()).write.mode("append").parquet(manifest_path)

@@ -325,3 +325,35 @@ def test_terms_and_encoder(spark):
     assert df.where("id = 1").select(retrieval.terms("text")).first()[0] == ["ash", "and", "ember"]
     v = df.select(retrieval.hash_encoder(3)("text").alias("v")).collect()
     assert v[2]["v"] == [0.0, 31 / 997, 62 / 997]
+
+
+def test_forward_fill_across_partitions(spark):
+    from corpusloom.operators import ordering
+
+    data = [(("hot" if i < 900 else f"g{i % 7}") if i % 31 else None, i, float(i) if i % 97 == 3 else None) for i in range(1200)]
+    got = {r["i"]: r["v"] for r in ordering.filled_forward(spark.createDataFrame(data, "g string, i long, v double").repartition(5), "v", ["g"], "i").collect()}
+    last: dict = {}
+    for g, i, v in data:
+        last[g] = v if v is not None else last.get(g)
+        assert got[i] == last[g]
+    assert ordering.filled_forward(spark.createDataFrame([], "g string, i long, v double"), "v", ["g"], "i").count() == 0
+
+
+def test_narrowed(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "category string, n int")
+    assert retrieval.narrowed(df, "category", ["a", "x"]).count() == 1
+    assert retrieval.narrowed(df, "category", []).count() == 3
+    with pytest.raises(ValueError, match="category"):
+        retrieval.narrowed(df, "category", ["x"])
+
+
+def test_batch_encoder_checks_counts(spark):
+    df = spark.createDataFrame([("a b",), (None,), ("a a b",)], "text string").coalesce(1)
+    coded = [r["v"] for r in retrieval.with_vectors(df, "text", retrieval.BatchEncoder(lambda t: [[len(x), 1] for x in t], 2, batch=2), "v").collect()]
+    assert coded == [[3.0, 1.0], [0.0, 1.0], [5.0, 1.0]]
+    for bad in (lambda t: [[1, 2]] * (len(t) + 1), lambda t: [[1]] * len(t)):
+        with pytest.raises(Exception, match="vector"):
+            retrieval.with_vectors(df, "text", retrieval.BatchEncoder(bad, 2), "v").collect()
+    words = [r["v"] for r in retrieval.with_vectors(df, "text", retrieval.HashedWords(8), "v").collect()]
+    assert words[1] == [0.0] * 8
+    assert sum(x * x for x in words[2]) == pytest.approx(1)
