@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +12,7 @@ import pytest
 pytest.importorskip("corpusloom.llm")
 
 from corpusloom.llm import canonical, matching, survivor  # noqa: E402
+from corpusloom.session import released, shared_folder  # noqa: E402
 
 from ..conftest import rows  # noqa: E402
 
@@ -172,6 +175,25 @@ def test_match_nulls_and_empty(spark):
     assert matched(spark, data) == []
 
 
+def test_match_releases_what_is_over(spark, monkeypatch):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    held = lambda: {p.name for p in folder.glob("rdd-*")}
+    before, left, rest = held(), [], matching.retrieved
+
+    def counted(pairs, *args):  # noqa: ANN001, ANN002, ANN202
+        for _ in range(10):
+            released(spark)
+            time.sleep(0.5)
+            if len(held() - before) <= 1:
+                break
+        left.append(len(held() - before))
+        return rest(pairs, *args)
+
+    monkeypatch.setattr(matching, "retrieved", counted)
+    matching.match(spark.createDataFrame([(*r, 0) for r in filler(60)], SOURCE))
+    assert left == [1]  # the pairs; records and index are over
+
+
 def test_logistic():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((4000, 2))
