@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 
@@ -209,3 +211,21 @@ def test_search_finds_the_nearest_of_stated_queries(spark, monkeypatch):
     assert sorted(got[1000])[0][1:] == (1001, 1.0)
     assert neighbours.search(rows.where("id < 0"), rows, SIZE).count() == 0
     assert neighbours.search(rows, rows.where("id < 0"), SIZE).count() == 0
+
+
+def test_many_means_are_compared_in_blocks():
+    rng = np.random.default_rng(4)
+    u = rng.standard_normal((4000, 128))
+    u[1000:1500] = u[:500] + 0.2 * rng.standard_normal((500, 128))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    began = time.perf_counter()
+    assert clusters.same_means(u, u[rng.permutation(4000)])
+    assert not clusters.same_means(u, np.concatenate([u[1:], u[1:2]]))
+    order, keep = rng.permutation(4000), rng.random(4000) < 0.9
+    got = clusters._apart(u, order, keep, 0.9)
+    assert time.perf_counter() - began < 10  # row by row it's a multiple
+    want = keep.copy()
+    for k, i in enumerate(order):
+        if want[i]:
+            want[order[k + 1 :][u[order[k + 1 :]] @ u[i] >= 0.9]] = False
+    assert (got == want).all() and 0 < want.sum() < keep.sum()
